@@ -95,9 +95,30 @@ def circle_area(radius: Column) -> Column:
     return F.pi() * F.pow(radius, F.lit(2))
 
 
-def bands(value: Column, *steps: tuple[Column, str], otherwise: str) -> Column:
+def where(condition: Column, yes, no) -> Column:
+    """One of two values; a null condition counts as false."""
+    return F.when(condition, yes).otherwise(no)
+
+
+def bands(*steps: tuple[Column, str], otherwise: str) -> Column:
     """Label of the first step whose condition holds; a null condition does not."""
     label = F.when(steps[0][0], steps[0][1])
     for condition, text in steps[1:]:
         label = label.when(condition, text)
     return label.otherwise(otherwise)
+
+
+def python_type(x: Column) -> Column:
+    """The name Python gives the value's type."""
+    kind = F.typeof(x)
+    return (
+        F.when(x.isNull(), "NoneType")
+        .when(kind.isin("tinyint", "smallint", "int", "bigint"), "int")
+        .when(kind.isin("float", "double"), "float")
+        .when(kind == "string", "str")
+        .when(kind == "boolean", "bool")
+        .when(kind.startswith("array"), "list")
+        .when(kind.startswith("map"), "dict")
+        .when(kind.startswith("struct"), "tuple")
+        .otherwise(kind)
+    )

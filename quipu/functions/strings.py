@@ -55,8 +55,10 @@ def characters(s: Column) -> Column:
 
 
 def capitalize(s: Column) -> Column:
-    """First letter upper, the rest lower."""
-    return F.concat(F.upper(F.substring(s, 1, 1)), F.lower(F.substr(s, F.lit(2))))
+    """First letter upper, the rest lower; a letter such as ß becomes Ss."""
+    first = F.upper(F.substring(s, 1, 1))
+    head = F.concat(F.substring(first, 1, 1), F.lower(F.substr(first, F.lit(2))))
+    return F.concat(head, F.lower(F.substr(s, F.lit(2))))
 
 
 def title(s: Column) -> Column:
