@@ -14,17 +14,25 @@ def _chars(rule) -> list[str]:
     return [chr(i) for i in range(sys.maxunicode + 1) if not 0xD800 <= i <= 0xDFFF and rule(chr(i))]
 
 
+def _as_class(chars: list[str]) -> str:
+    """The inside of a regular-expression class, with neighbours joined to ranges."""
+    runs: list[list[int]] = []
+    for code in map(ord, chars):
+        if runs and code == runs[-1][1] + 1:
+            runs[-1][1] = code
+        else:
+            runs.append([code, code])
+    return "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in runs)
+
+
 _SPACES = "".join(_chars(str.isspace))
-_SPACE_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in _SPACES) + "]"
+_SPACE_CLASS = f"[{_as_class(_chars(str.isspace))}]"
 # Letters that have a case; a title-case word is a run of them.
 _CASED = "\\p{Lu}\\p{Ll}\\p{Lt}"
 # Digits such as superscripts, which are not decimal digits.
-_OTHER_DIGITS = "".join(
-    f"\\x{{{ord(c):x}}}" for c in _chars(lambda c: c.isdigit() and unicodedata.category(c) != "Nd")
-)
-_SWAP_FROM = _chars(lambda c: c != c.swapcase() and len(c.swapcase()) == 1)
-_SWAP_TO = [c.swapcase() for c in _SWAP_FROM]
-_SWAP_LONG = "".join(_chars(lambda c: len(c.swapcase()) > 1))
+_OTHER_DIGITS = _as_class(_chars(lambda c: c.isdigit() and unicodedata.category(c) != "Nd"))
+# Letters whose capital is longer than one letter, such as ß.
+_LONG_CAPITALS = _as_class(_chars(lambda c: len(c.upper()) > 1))
 
 
 def strip(s: Column) -> Column:
@@ -41,7 +49,8 @@ def rstrip(s: Column) -> Column:
 
 def words(s: Column) -> Column:
     """Split at any run of white space; blank text has no words."""
-    return F.filter(F.split(s, _SPACE_CLASS + "+"), lambda w: w != "")
+    text = strip(s)
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, _SPACE_CLASS + "+"))
 
 
 def split_at(s: Column, separator: str) -> Column:
@@ -63,21 +72,22 @@ def capitalize(s: Column) -> Column:
 
 def title(s: Column) -> Column:
     """Every run of letters capitalised, also after an apostrophe or a digit."""
-    runs = F.regexp_extract_all(s, F.lit(f"([{_CASED}]+|[^{_CASED}]+)"), F.lit(1))
-    return F.array_join(F.transform(runs, capitalize), "")
+    pieces = F.split(s, f"(?<![{_CASED}])(?=[{_CASED}])")  # each starts with a letter run
 
+    def plain(w: Column) -> Column:
+        return F.concat(F.upper(F.left(w, F.lit(1))), F.lower(F.substr(w, F.lit(2))))
 
-def swapcase(s: Column) -> Column:
-    """Upper and lower letters exchanged."""
-    direct = F.translate(s, "".join(_SWAP_FROM), "".join(_SWAP_TO))
+    return F.when(
+        s.rlike(f"(?<![{_CASED}])[{_LONG_CAPITALS}]"), F.array_join(F.transform(pieces, capitalize), "")
+    ).otherwise(F.array_join(F.transform(pieces, plain), ""))
 
-    def swap(c: Column) -> Column:
-        return F.when((c == F.upper(c)) & (c != F.lower(c)), F.lower(c)).otherwise(F.upper(c))
 
-    # Letters whose other case is longer than one letter need the per-letter way.
-    return F.when(
-        s.rlike(f"[{_SWAP_LONG}]"), F.array_join(F.transform(F.split(s, ""), swap), "")
-    ).otherwise(direct)
+def swapcase(s: Column) -> Column:
+    """Upper and lower letters exchanged."""
+    runs = F.regexp_extract_all(s, F.lit(r"(\p{Lu}+|[^\p{Lu}]+)"), F.lit(1))
+    return F.array_join(
+        F.transform(runs, lambda r: F.when(r.rlike(r"\A\p{Lu}"), F.lower(r)).otherwise(F.upper(r))), ""
+    )
 
 
 def find(s: Column, sub: str) -> Column:

@@ -52,12 +52,12 @@ def sales_summary(
     whole = sales.agg(
         F.coalesce(F.sum(amount), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("records")
     )
-    kind = by_zone.schema["valor"].dataType
+    kind = whole.schema["total"].dataType
     overall = whole.select(
         F.inline(
             F.array(
                 F.struct(
-                    F.lit("Venta").alias("descripcion"), F.col("total").cast(kind).alias("valor")
+                    F.lit("Venta").alias("descripcion"), F.col("total").alias("valor")
                 ),
                 F.struct(
                     F.lit("Registros").alias("descripcion"), F.col("records").cast(kind).alias("valor")

@@ -10,9 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quipu.operators.ordering import with_position
-
-_BROADCAST_ROWS = 1_000_000  # (j, v) rows: some 16 MB
-
+from quipu.storage import broadcast_if_short
 
 def cells(df: DataFrame, row: str, values: str) -> DataFrame:
     """Cells of a table that holds one array per row."""
@@ -70,9 +68,7 @@ def with_vector(a: DataFrame, vector: DataFrame, op: Callable[[Column, Column],
     The vector is broadcast only after its length has been checked; a longer one
     is joined by shuffle, where its many columns spread the cells.
     """
-    other = vector.select("j", F.col("v").alias("_w"))
-    if other.limit(_BROADCAST_ROWS + 1).count() <= _BROADCAST_ROWS:
-        other = F.broadcast(other)
+    other = broadcast_if_short(vector.select("j", F.col("v").alias("_w")))
     return a.join(other, "j").select("i", "j", op(F.col("v"), F.col("_w")).alias("v"))
 
 

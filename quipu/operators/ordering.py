@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quipu.storage import stage
+from quipu.storage import broadcast_if_short, stage
 
-_PART, _SLOT = "_part", "_slot"
+PART, SLOT = "_part", "_slot"
 _SLOT_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
@@ -26,43 +26,48 @@ def range_sorted(df: DataFrame, *order: Column) -> DataFrame:
     """
     split = df.withColumn("_tie", F.monotonically_increasing_id())
     tagged = split.orderBy(*order, "_tie").drop("_tie")
-    tagged = tagged.withColumn(_SLOT, F.monotonically_increasing_id())
-    return stage(tagged.withColumn(_PART, F.shiftright(_SLOT, _SLOT_BITS)), "sorted")
+    tagged = tagged.withColumn(SLOT, F.monotonically_increasing_id())
+    return stage(tagged.withColumn(PART, F.shiftright(SLOT, _SLOT_BITS)), "sorted")
 
 
 def part_totals(stored: DataFrame, by: list[str], weight: Column) -> DataFrame:
-    """Per (partition, key): the weight in earlier partitions and in the whole key."""
-    sizes = stored.groupBy(_PART, *by).agg(
-        F.sum(weight).alias("_weight"), F.min(_SLOT).alias("_first_slot")
+    """Per (partition, key): its weight, the weight before it in the key, and the key's total.
+
+    Stored as well, as it is read more than once: a row per key and partition.
+    """
+    sizes = stored.groupBy(PART, *by).agg(
+        F.sum(weight).alias("_weight"), F.min(SLOT).alias("_first_slot")
     )
     # At most one row per sorted partition in each of these windows.
     whole = Window.partitionBy(*by) if by else Window.partitionBy()
-    earlier = whole.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.withColumns(
-        {
-            "_earlier": F.coalesce(F.sum("_weight").over(earlier), F.lit(0)),
-            "_total": F.sum("_weight").over(whole),
-        }
+    earlier = whole.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    return stage(
+        sizes.withColumns(
+            {
+                "_earlier": F.coalesce(F.sum("_weight").over(earlier), F.lit(0)),
+                "_total": F.sum("_weight").over(whole),
+            }
+        ),
+        "parts",
     )
 
 
-def attach(stored: DataFrame, totals: DataFrame, by: list[str]) -> DataFrame:
-    """Join per-(partition, key) facts to the stored rows.
+def attach(stored: DataFrame, facts: DataFrame, by: list[str]) -> DataFrame:
+    """Join per-(partition, key) facts to the stored rows; rows without facts go.
 
-    The partition number is part of the join key, so a hot key is spread over as
-    many tasks as it has sorted partitions.
+    Few facts are broadcast, which leaves the stored rows where they are. Else the
+    partition number is part of the join key, so a hot key is spread over as many
+    tasks as it has sorted partitions.
     """
-    facts = totals.select(
-        F.col(_PART).alias("_fact_part"),
+    side = facts.select(
+        F.col(PART).alias("_fact_part"),
         *[F.col(k).alias(f"_fact_{k}") for k in by],
-        *[c for c in totals.columns if c != _PART and c not in by],
+        *[c for c in facts.columns if c != PART and c not in by],
     )
-    if not by:
-        facts = F.broadcast(facts)  # one row per sorted partition
-    on = stored[_PART] == facts["_fact_part"]
+    on = stored[PART] == F.col("_fact_part")
     for k in by:
-        on = on & stored[k].eqNullSafe(facts[f"_fact_{k}"])
-    return stored.join(facts, on).drop("_fact_part", *[f"_fact_{k}" for k in by])
+        on = on & stored[k].eqNullSafe(F.col(f"_fact_{k}"))
+    return stored.join(broadcast_if_short(side), on).drop("_fact_part", *[f"_fact_{k}" for k in by])
 
 
 def with_position(
@@ -74,10 +79,9 @@ def with_position(
     """
     by = by or []
     stored = range_sorted(df, *[F.col(k).asc_nulls_last() for k in by], *order)
-    totals = part_totals(stored, by, F.lit(1)).select(_PART, *by, "_first_slot", "_earlier")
-    numbered = attach(stored, totals, by)
-    position = F.col("_earlier") + F.col(_SLOT) - F.col("_first_slot")
-    return numbered.select(*df.columns, position.cast("bigint").alias(name))
+    totals = part_totals(stored, by, F.lit(1)).select(PART, *by, "_first_slot", "_earlier")
+    position = F.col("_earlier") + F.col(SLOT) - F.col("_first_slot")
+    return attach(stored, totals, by).select(*df.columns, position.cast("bigint").alias(name))
 
 
 def with_rank(
@@ -87,9 +91,9 @@ def with_rank(
     first = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
     stored = range_sorted(df, first, *[F.col(c) for c in tiebreak])
     starts = part_totals(stored, [], F.lit(1)).select(
-        F.col(_PART).alias("_p"), "_earlier", F.col("_first_slot").alias("_base")
+        F.col(PART).alias("_p"), "_earlier", F.col("_first_slot").alias("_base")
     )
-    runs = stored.groupBy(_PART, value).agg(F.min(_SLOT).alias("_run_slot"))
+    runs = stored.groupBy(PART, value).agg(F.min(SLOT).alias("_run_slot"))
     leaders = (
         runs.groupBy(value)
         .agg(F.min("_run_slot").alias("_lead"))
@@ -100,38 +104,12 @@ def with_rank(
             (F.col("_earlier") + F.col("_lead") - F.col("_base") + 1).alias("_rank"),
         )
     )
-    ranked = runs.join(leaders, runs[value].eqNullSafe(leaders["_v"])).select(
-        _PART, value, "_rank"
-    )
+    ranked = runs.join(leaders, runs[value].eqNullSafe(leaders["_v"])).select(PART, value, "_rank")
     return attach(stored, ranked, [value]).select(
         *df.columns, F.col("_rank").cast("bigint").alias(name)
     )
 
 
-def with_running_total(
-    df: DataFrame, by: list[str], value: str, weight: str
-) -> tuple[DataFrame, DataFrame]:
-    """Weight before each row within its ``by`` key, in ``value`` order.
-
-    ``df`` holds one row per (key, value). Returns the rows with ``before`` and
-    ``total``, plus the per-(partition, key) facts for further ``attach`` calls.
-    """
-    stored = range_sorted(df, *[F.col(k).asc_nulls_last() for k in by], F.col(value))
-    totals = part_totals(stored, by, F.col(weight))
-    rows = attach(stored, totals, by)
-    # One sorted partition's share of one key: bounded by the range shuffle.
-    local = (
-        Window.partitionBy(_PART, *by)
-        .orderBy(_SLOT)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before = F.col("_earlier") + F.coalesce(F.sum(weight).over(local), F.lit(0))
-    return (
-        rows.withColumn("before", before).withColumn("total", F.col("_total")),
-        totals.select(_PART, *by),
-    )
-
-
 def row_slice(df: DataFrame, start: int, stop: int, *order: Column, in_memory: int = 10_000) -> DataFrame:
     """Rows ``start`` to ``stop - 1`` in ``order``; the end is left out.
 

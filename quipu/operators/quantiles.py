@@ -8,10 +8,13 @@ count.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quipu.operators import ordering
+from quipu.operators.ordering import PART, SLOT
 
 
 def unpivot(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
@@ -32,32 +35,53 @@ def unpivot(df: DataFrame, columns: list[str], by: list[str] | None = None) -> D
     )
 
 
-def _counted(long: DataFrame, keys: list[str]) -> DataFrame:
-    return long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n"))
+def _sorted_counts(long: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Distinct values with their counts in sorted storage, and its partitions' totals."""
+    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n"))
+    stored = ordering.range_sorted(counts, *[F.col(k).asc_nulls_last() for k in keys], F.col("value"))
+    return stored, ordering.part_totals(stored, keys, F.col("_n"))
 
 
-def _pick(rows: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
-    """Linear interpolation between the two neighbouring order statistics."""
-    last = F.col("total") - 1
-    covers: list[Column] = []
-    picks: list[Column] = []
-    for i, p in enumerate(probs):
-        spot = F.lit(float(p)) * last
-        for side, rank in (("lo", F.floor(spot)), ("hi", F.ceil(spot))):
-            inside = (F.col("before") <= rank) & (rank < F.col("before") + F.col("_n"))
-            covers.append(inside)
-            picks.append(F.max(F.when(inside, F.col("value"))).alias(f"_{side}{i}"))
-    wanted = covers[0]
-    for c in covers[1:]:
-        wanted = wanted | c
-    # At most two rows per probability and key are left to group.
-    found = rows.filter(wanted).groupBy(*keys).agg(F.max("total").alias("_total"), *picks)
+def _any(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions)
+
+
+def _pick(stored: DataFrame, totals: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """Linear interpolation between the two neighbouring order statistics.
+
+    Only the sorted partitions that hold a wanted rank are read on: at most two
+    per key and probability.
+    """
+
+    def ranks(total: Column) -> list[tuple[str, Column]]:
+        spots = [(i, F.lit(float(p)) * (total - 1)) for i, p in enumerate(probs)]
+        return [(f"_lo{i}", F.floor(s)) for i, s in spots] + [(f"_hi{i}", F.ceil(s)) for i, s in spots]
+
+    def covers(start: Column, weight: Column, rank: Column) -> Column:
+        return (start <= rank) & (rank < start + weight)
+
+    wanted = [covers(F.col("_earlier"), F.col("_weight"), r) for _, r in ranks(F.col("_total"))]
+    parts = totals.filter(_any(wanted)).select(PART, *keys, "_earlier", "_total")
+    # One sorted partition's share of one key: bounded by the range shuffle.
+    local = Window.partitionBy(PART, *keys).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
+    rows = ordering.attach(stored, parts, keys).withColumn(
+        "_before", F.col("_earlier") + F.coalesce(F.sum("_n").over(local), F.lit(0))
+    )
+    inside = {name: covers(F.col("_before"), F.col("_n"), r) for name, r in ranks(F.col("_total"))}
+    found = (
+        rows.filter(_any(list(inside.values())))
+        .groupBy(*keys)
+        .agg(
+            F.max("_total").alias("n"),
+            *[F.max(F.when(hit, F.col("value"))).alias(name) for name, hit in inside.items()],
+        )
+    )
     out = []
     for i, p in enumerate(probs):
-        spot = F.lit(float(p)) * (F.col("_total") - 1)
+        spot = F.lit(float(p)) * (F.col("n") - 1)
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         out.append((lo + (hi - lo) * (spot - F.floor(spot))).alias(_prob_name(p)))
-    return found.select(*keys, F.col("_total").alias("n"), *out)
+    return found.select(*keys, "n", *out)
 
 
 def _prob_name(p: float) -> str:
@@ -83,17 +107,14 @@ def quantiles(
             F.count("value").alias("n"),
             *[F.percentile_approx("value", float(p), 100_000).alias(_prob_name(p)) for p in probs],
         )
-    rows, _ = ordering.with_running_total(_counted(long, keys), keys, "value", "_n")
-    return _pick(rows, keys, probs)
+    return _pick(*_sorted_counts(long, keys), keys, probs)
 
 
 def box_stats(df: DataFrame, column: str, by: list[str] | None = None, reach: float = 1.5) -> DataFrame:
     """Quartiles, whisker ends and outlier count per key, as a box plot draws them."""
     keys = [*(by or []), "column"]
-    rows, parts = ordering.with_running_total(
-        _counted(unpivot(df, [column], by), keys), keys, "value", "_n"
-    )
-    boxes = _pick(rows, keys, [0.25, 0.5, 0.75])
+    stored, totals = _sorted_counts(unpivot(df, [column], by), keys)
+    boxes = _pick(stored, totals, keys, [0.25, 0.5, 0.75])
     fences = boxes.select(
         *[F.col(k).alias(f"_box_{k}") for k in keys], "n", "q25", "q50", "q75",
         (F.col("q25") - reach * (F.col("q75") - F.col("q25"))).alias("_low"),
@@ -101,9 +122,9 @@ def box_stats(df: DataFrame, column: str, by: list[str] | None = None, reach: fl
     )
     same = F.lit(True)
     for k in keys:
-        same = same & parts[k].eqNullSafe(fences[f"_box_{k}"])
-    per_part = parts.join(fences, same).drop(*[f"_box_{k}" for k in keys])
-    fenced = ordering.attach(rows.select("_part", *keys, "value", "_n"), per_part, keys)
+        same = same & totals[k].eqNullSafe(fences[f"_box_{k}"])
+    parts = totals.join(fences, same).select(PART, *keys, "n", "q25", "q50", "q75", "_low", "_high")
+    fenced = ordering.attach(stored, parts, keys)
     inside = F.col("value").between(F.col("_low"), F.col("_high"))
     return fenced.groupBy(*keys).agg(
         F.max("n").alias("n"),

@@ -99,32 +99,31 @@ def bins_2d(
     """Counts of the filled cells for each pair of columns, in one scan."""
     columns = sorted({c for pair in pairs for c in pair})
     spread = _range_of(df, columns)
-    keys = [F.col(hue).alias("hue")] if hue else []
+    names = ["hue"] if hue else []
     binned = df.select(
-        *keys,
+        *([F.col(hue).alias("hue")] if hue else []),
         *[
-            F.when(
-                _present(c).isNotNull(),
-                bin_of(_present(c), spread.getField(f"lo_{c}"), spread.getField(f"hi_{c}"), bins),
-            ).alias(f"_bin_{c}")
+            bin_of(_present(c), spread.getField(f"lo_{c}"), spread.getField(f"hi_{c}"), bins).alias(f"_bin_{c}")
             for c in columns
         ],
     )
+    # Counted once per full combination of bins, which is far shorter than the
+    # table, before the pairs are taken out of it.
+    combined = binned.groupBy(*names, *[f"_bin_{c}" for c in columns]).agg(F.count(F.lit(1)).alias("n"))
     cells = F.array(
         *[
             F.struct(
                 F.lit(a).alias("x"), F.lit(b).alias("y"),
-                F.col(f"_bin_{a}").alias("x_bin"), F.col(f"_bin_{b}").alias("y_bin"),
+                F.col(f"_bin_{a}").alias("x_bin"), F.col(f"_bin_{b}").alias("y_bin"), "n",
             )
             for a, b in pairs
         ]
     )
-    names = ["hue"] if hue else []
     return (
-        binned.select(*names, F.inline(cells))
+        combined.select(*names, F.inline(cells))
         .filter("x_bin IS NOT NULL AND y_bin IS NOT NULL")
         .groupBy(*names, "x", "y", "x_bin", "y_bin")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
 
 

@@ -181,24 +181,26 @@ def class_report(t: Tables):
 
 @query(
     "sales_summary",
-    """WITH sales AS (SELECT l_suppkey, l_partkey, l_quantity * l_extendedprice AS total FROM lineitem)
-    SELECT r_name AS descripcion, round(sum(total), 2) AS valor, 'Zonas' AS tipo FROM sales
+    """WITH sales AS (SELECT l_suppkey, l_partkey,
+        CAST(l_quantity AS DECIMAL(7, 0)) * CAST(l_extendedprice AS DECIMAL(10, 2)) AS total FROM lineitem)
+    SELECT r_name AS descripcion, CAST(sum(total) AS DOUBLE) AS valor, 'Zonas' AS tipo FROM sales
     JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
     JOIN region ON n_regionkey = r_regionkey GROUP BY r_name
-    UNION ALL SELECT p_brand, round(sum(total), 2), 'Productos' FROM sales JOIN part ON l_partkey = p_partkey GROUP BY p_brand
-    UNION ALL SELECT 'Venta', round(sum(total), 2), 'Resumen' FROM sales
+    UNION ALL SELECT p_brand, CAST(sum(total) AS DOUBLE), 'Productos' FROM sales JOIN part ON l_partkey = p_partkey GROUP BY p_brand
+    UNION ALL SELECT 'Venta', CAST(sum(total) AS DOUBLE), 'Resumen' FROM sales
     UNION ALL SELECT 'Registros', CAST(count(*) AS DOUBLE), 'Resumen' FROM sales""",
 )
 def sales_summary(t: Tables):
+    """Money is summed as decimals, so the order of addition does not matter."""
     report = grouping.sales_summary(
         t.lineitem,
         "l_suppkey",
         "l_partkey",
-        F.col("l_quantity") * F.col("l_extendedprice"),
+        F.col("l_quantity").cast("decimal(7,0)") * F.col("l_extendedprice").cast("decimal(10,2)"),
         zones=shapes.zones(t),
         products=shapes.products(t),
     )
-    return report.withColumn("valor", F.round("valor", 2))
+    return report.withColumn("valor", F.col("valor").cast("double"))
 
 
 _STATUS = ["F", "O", "P"]

@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _own_folder: str | None = None
 
@@ -46,3 +47,11 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_short(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """Mark ``df`` for broadcast, but only after counting that it has few rows.
+
+    A longer table is returned as it is, and joins by shuffle.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
