@@ -1,9 +1,9 @@
 """Exact quantiles, box-plot figures and outliers.
 
 Spark's ``percentile`` keeps every distinct value of a group in one task. Here
-values are counted first (which folds repeats before the shuffle), the distinct
-values are range-sorted, and the wanted order statistics are picked by running
-count.
+values are counted first, which folds repeats before the shuffle, and the wanted
+order statistics are picked by running count. If few distinct values are left, a
+window per key gives that count; else they are range-sorted over many tasks.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from quipu.operators import ordering
 from quipu.operators.ordering import PART, SLOT
+from quipu.storage import SHORT, is_short, stage
 
 
 def unpivot(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
@@ -35,9 +36,13 @@ def unpivot(df: DataFrame, columns: list[str], by: list[str] | None = None) -> D
     )
 
 
-def _sorted_counts(long: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Distinct values with their counts in sorted storage, and its partitions' totals."""
-    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n"))
+def _counts(long: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct values with their counts, stored as they are read more than once."""
+    return stage(long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n")), "counts")
+
+
+def _sorted(counts: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The counts in sorted storage, and the totals of its partitions."""
     stored = ordering.range_sorted(counts, *[F.col(k).asc_nulls_last() for k in keys], F.col("value"))
     return stored, ordering.part_totals(stored, keys, F.col("_n"))
 
@@ -46,42 +51,60 @@ def _any(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 
 
-def _pick(stored: DataFrame, totals: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+def _ranks(probs: list[float], total: Column) -> dict[str, Column]:
+    """The order statistics below and above each probability, counted from 0."""
+    spots = {i: F.lit(float(p)) * (total - 1) for i, p in enumerate(probs)}
+    lower = {f"_lo{i}": F.floor(s) for i, s in spots.items()}
+    return lower | {f"_hi{i}": F.ceil(s) for i, s in spots.items()}
+
+
+def _covers(start: Column, weight: Column, rank: Column) -> Column:
+    return (start <= rank) & (rank < start + weight)
+
+
+def _pick(rows: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
     """Linear interpolation between the two neighbouring order statistics.
 
-    Only the sorted partitions that hold a wanted rank are read on: at most two
-    per key and probability.
+    ``rows`` hold the values with ``_n``, the count ``_before`` them and ``_total``.
     """
+    ranks = _ranks(probs, F.col("_total"))
+    hits = {name: _covers(F.col("_before"), F.col("_n"), r) for name, r in ranks.items()}
+    picked = [F.max(F.when(hit, F.col("value"))).alias(name) for name, hit in hits.items()]
+    # At most two rows per key and probability are left to group.
+    found = rows.filter(_any(list(hits.values()))).groupBy(*keys).agg(F.max("_total").alias("n"), *picked)
+    out = []
+    for i, p in enumerate(probs):
+        spot = F.lit(float(p)) * (F.col("n") - 1)
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        out.append((lo + (hi - lo) * (spot - F.floor(spot))).alias(_prob_name(p)))
+    return found.select(*keys, "n", *out)
+
+
+def _with_before(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Running counts of a table that has been found short."""
+    whole = Window.partitionBy(*keys)
+    earlier = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumns(
+        {
+            "_before": F.coalesce(F.sum("_n").over(earlier), F.lit(0)),
+            "_total": F.sum("_n").over(whole),
+        }
+    )
 
-    def ranks(total: Column) -> list[tuple[str, Column]]:
-        spots = [(i, F.lit(float(p)) * (total - 1)) for i, p in enumerate(probs)]
-        return [(f"_lo{i}", F.floor(s)) for i, s in spots] + [(f"_hi{i}", F.ceil(s)) for i, s in spots]
 
-    def covers(start: Column, weight: Column, rank: Column) -> Column:
-        return (start <= rank) & (rank < start + weight)
+def _near_ranks(stored: DataFrame, totals: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """Running counts in the sorted partitions that hold a wanted rank.
 
-    wanted = [covers(F.col("_earlier"), F.col("_weight"), r) for _, r in ranks(F.col("_total"))]
+    These are at most two per key and probability, however long the table is.
+    """
+    ranks = _ranks(probs, F.col("_total"))
+    wanted = [_covers(F.col("_earlier"), F.col("_weight"), r) for r in ranks.values()]
     parts = totals.filter(_any(wanted)).select(PART, *keys, "_earlier", "_total")
     # One sorted partition's share of one key: bounded by the range shuffle.
     local = Window.partitionBy(PART, *keys).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
-    rows = ordering.attach(stored, parts, keys).withColumn(
+    return ordering.attach(stored, parts, keys).withColumn(
         "_before", F.col("_earlier") + F.coalesce(F.sum("_n").over(local), F.lit(0))
     )
-    inside = {name: covers(F.col("_before"), F.col("_n"), r) for name, r in ranks(F.col("_total"))}
-    found = (
-        rows.filter(_any(list(inside.values())))
-        .groupBy(*keys)
-        .agg(
-            F.max("_total").alias("n"),
-            *[F.max(F.when(hit, F.col("value"))).alias(name) for name, hit in inside.items()],
-        )
-    )
-    out = []
-    for i, p in enumerate(probs):
-        spot = F.lit(float(p)) * (F.col("n") - 1)
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        out.append((lo + (hi - lo) * (spot - F.floor(spot))).alias(_prob_name(p)))
-    return found.select(*keys, "n", *out)
 
 
 def _prob_name(p: float) -> str:
@@ -94,11 +117,13 @@ def quantiles(
     probs: list[float],
     by: list[str] | None = None,
     approximate: bool = False,
+    in_memory: int = SHORT,
 ) -> DataFrame:
     """One row per key and column: ``n`` and the quantiles ``q25``, ``q50``...
 
     Linear interpolation, nulls and NaN skipped. ``approximate`` trades exactness
-    for a single aggregate.
+    for a single aggregate. More than ``in_memory`` distinct values are sorted by
+    many tasks.
     """
     keys = [*(by or []), "column"]
     long = unpivot(df, columns, by)
@@ -107,24 +132,46 @@ def quantiles(
             F.count("value").alias("n"),
             *[F.percentile_approx("value", float(p), 100_000).alias(_prob_name(p)) for p in probs],
         )
-    return _pick(*_sorted_counts(long, keys), keys, probs)
+    counts = _counts(long, keys)
+    if is_short(counts, in_memory):
+        return _pick(_with_before(counts, keys), keys, probs)
+    return _pick(_near_ranks(*_sorted(counts, keys), keys, probs), keys, probs)
 
 
-def box_stats(df: DataFrame, column: str, by: list[str] | None = None, reach: float = 1.5) -> DataFrame:
+def box_stats(
+    df: DataFrame,
+    column: str,
+    by: list[str] | None = None,
+    reach: float = 1.5,
+    in_memory: int = SHORT,
+) -> DataFrame:
     """Quartiles, whisker ends and outlier count per key, as a box plot draws them."""
     keys = [*(by or []), "column"]
-    stored, totals = _sorted_counts(unpivot(df, [column], by), keys)
-    boxes = _pick(stored, totals, keys, [0.25, 0.5, 0.75])
-    fences = boxes.select(
-        *[F.col(k).alias(f"_box_{k}") for k in keys], "n", "q25", "q50", "q75",
-        (F.col("q25") - reach * (F.col("q75") - F.col("q25"))).alias("_low"),
-        (F.col("q75") + reach * (F.col("q75") - F.col("q25"))).alias("_high"),
-    )
-    same = F.lit(True)
-    for k in keys:
-        same = same & totals[k].eqNullSafe(fences[f"_box_{k}"])
-    parts = totals.join(fences, same).select(PART, *keys, "n", "q25", "q50", "q75", "_low", "_high")
-    fenced = ordering.attach(stored, parts, keys)
+    probs = [0.25, 0.5, 0.75]
+    counts = _counts(unpivot(df, [column], by), keys)
+    span = F.col("q75") - F.col("q25")
+
+    def fences(boxes: DataFrame) -> DataFrame:
+        return boxes.select(
+            *[F.col(k).alias(f"_box_{k}") for k in keys], "n", *[_prob_name(p) for p in probs],
+            (F.col("q25") - reach * span).alias("_low"),
+            (F.col("q75") + reach * span).alias("_high"),
+        )
+
+    def same_key(rows: DataFrame) -> Column:
+        return reduce(lambda a, b: a & b, [rows[k].eqNullSafe(F.col(f"_box_{k}")) for k in keys])
+
+    if is_short(counts, in_memory):
+        # There are no more boxes than counts, so they may be broadcast.
+        boxes = F.broadcast(fences(_pick(_with_before(counts, keys), keys, probs)))
+        fenced = counts.join(boxes, same_key(counts))
+    else:
+        stored, totals = _sorted(counts, keys)
+        boxes = fences(_pick(_near_ranks(stored, totals, keys, probs), keys, probs))
+        parts = totals.join(boxes, same_key(totals)).select(
+            PART, *keys, "n", "q25", "q50", "q75", "_low", "_high"
+        )
+        fenced = ordering.attach(stored, parts, keys)
     inside = F.col("value").between(F.col("_low"), F.col("_high"))
     return fenced.groupBy(*keys).agg(
         F.max("n").alias("n"),

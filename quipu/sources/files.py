@@ -22,7 +22,7 @@ def read_csv(
     header: bool = True,
     quoted_newlines: bool = False,
 ) -> DataFrame:
-    """Delimited text with doubled quotes inside quoted fields.
+    """Delimited text with doubled quotes inside quoted fields; empty fields are missing.
 
     ``quoted_newlines`` lets fields span lines, at the price of one task per file.
     """
@@ -53,18 +53,20 @@ def read_csv_na(
 def read_csv_strings(
     spark: SparkSession, path: str, sep: str = ",", quoted_newlines: bool = False
 ) -> DataFrame:
-    """Delimited text with all fields as text, named by the header line."""
-    return (
+    """Delimited text with all fields as text, named by the header line.
+
+    An empty field is empty text, not a missing value.
+    """
+    rows = (
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("sep", sep)
         .option("quote", '"')
         .option("escape", '"')
-        .option("emptyValue", "")
-        .option("nullValue", "\u0000")  # an empty field is empty text, not missing
         .option("multiLine", quoted_newlines)
         .csv(path)
     )
+    return rows.na.fill("")
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -78,7 +80,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_whole(spark: SparkSession, path: str) -> DataFrame:
     """One row per file. For small files; larger ones are read by line."""
-    return spark.read.option("wholetext", True).text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("file"), "value"
     )
 

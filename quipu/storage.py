@@ -49,9 +49,17 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_short(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+SHORT = 1_000_000  # rows of a few numbers each: some tens of megabytes
+
+
+def is_short(df: DataFrame, rows: int = SHORT) -> bool:
+    """Whether ``df`` has at most ``rows`` rows."""
+    return df.count() <= rows
+
+
+def broadcast_if_short(df: DataFrame, rows: int = SHORT) -> DataFrame:
     """Mark ``df`` for broadcast, but only after counting that it has few rows.
 
     A longer table is returned as it is, and joins by shuffle.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if is_short(df, rows) else df
