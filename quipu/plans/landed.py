@@ -12,7 +12,7 @@ from quipu.plans.catalog import Tables, query
 from quipu.sources import documents, files
 from quipu.storage import fresh_path
 
-_ITEMS = T.StructType.fromDDL("l_orderkey bigint, l_quantity double, l_returnflag string")
+_ITEMS = "l_orderkey bigint, l_quantity double, l_returnflag string"
 
 
 def _items(t: Tables):
