@@ -126,15 +126,15 @@ def scan_json_records(t: Tables):
     return documents.read_records(t.spark, path, _USERS, "results").select("gender", "name.first", "name.last")
 
 
-@query("json_normalize", f"""SELECT gender, first AS "name.first", last AS "name.last" FROM {_USERS_SQL}""")
+@query("json_normalize", f"""SELECT gender, first AS name_first, last AS name_last FROM {_USERS_SQL}""")
 def json_normalize(t: Tables):
-    return documents.normalize(documents.records(_user_documents(t), "value", _USERS, "results"))
+    return documents.normalize(documents.records(_user_documents(t), "value", _USERS, "results"), sep="_")
 
 
-@query("json_record_path", f"""SELECT page, gender, first AS "name.first", last AS "name.last" FROM {_USERS_SQL}""")
+@query("json_record_path", f"""SELECT page, gender, first AS name_first, last AS name_last FROM {_USERS_SQL}""")
 def json_record_path(t: Tables):
     parsed = _user_documents(t).select(F.from_json("value", _USERS).alias("doc")).select("doc.*")
-    return documents.normalize(documents.explode_records(parsed, "results", ["page"]))
+    return documents.normalize(documents.explode_records(parsed, "results", ["page"]), sep="_")
 
 
 @query(
@@ -154,7 +154,7 @@ def response_gate(t: Tables):
 
 @query(
     "indicator_series",
-    """SELECT event_type AS codigo, CAST(ts AS DATE) + CAST(day AS INTEGER) AS fecha, value + day AS valor
+    """SELECT event_type AS codigo, strftime(CAST(ts AS DATE) + CAST(day AS INTEGER), '%Y-%m-%d') AS fecha, value + day AS valor
        FROM events, range(3) AS r(day)""",
 )
 def indicator_series(t: Tables):
@@ -168,7 +168,7 @@ def indicator_series(t: Tables):
     landed = t.events.select(
         F.col("event_type").alias("codigo"), F.to_json(F.struct(F.array(*days).alias("serie"))).alias("doc")
     )
-    return documents.series(landed, "doc", keep=["codigo"])
+    return documents.series(landed, "doc", keep=["codigo"]).withColumn("fecha", F.col("fecha").cast("string"))
 
 
 @query(

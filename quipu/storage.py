@@ -7,8 +7,9 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _own_folder: str | None = None
 
@@ -49,17 +50,30 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-SHORT = 1_000_000  # rows of a few numbers each: some tens of megabytes
+SHORT = 1_000_000  # rows
+SMALL = 128 * 1024 * 1024  # bytes, far below an executor's memory
 
 
-def is_short(df: DataFrame, rows: int = SHORT) -> bool:
-    """Whether ``df`` has at most ``rows`` rows."""
-    return df.count() <= rows
+def _bytes(name: str, kind: T.DataType) -> Column:
+    """Size of a value, with room for its place in a row."""
+    column = F.col(f"`{name}`")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0)) * 2 + 32
+    return F.lit(16)
+
+
+def is_short(df: DataFrame, rows: int = SHORT, size: int = SMALL) -> bool:
+    """Whether ``df`` has at most so many rows and takes at most so many bytes."""
+    width = sum((_bytes(f.name, f.dataType) for f in df.schema.fields), F.lit(0))
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("bigint")).alias("bytes")).first()
+    return found["n"] <= rows and (found["bytes"] or 0) <= size
 
 
 def broadcast_if_short(df: DataFrame, rows: int = SHORT) -> DataFrame:
-    """Mark ``df`` for broadcast, but only after counting that it has few rows.
+    """Mark ``df`` for broadcast, but only after measuring that it is small.
 
-    A longer table is returned as it is, and joins by shuffle.
+    A larger table is returned as it is, and joins by shuffle.
     """
     return F.broadcast(df) if is_short(df, rows) else df

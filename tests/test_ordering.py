@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quipu import storage
 from quipu.operators import matrix, ordering, quantiles
 
 
@@ -171,3 +172,22 @@ def test_generators(spark):
     assert np.allclose(_dense(matrix.eye(spark, 3), (3, 3)), np.eye(3))
     assert matrix.eye(spark, 3, dense=True).count() == 9
     assert matrix.full(spark, 4, 6, 0.0).count() == 24
+
+
+def test_broadcast_is_refused_beyond_the_limits(spark):
+    few = spark.range(10).withColumn("s", F.repeat(F.lit("x"), F.lit(1000)))
+    assert storage.is_short(few)
+    assert not storage.is_short(few, rows=9)
+    assert not storage.is_short(few, size=5000)
+    assert storage.is_short(few.filter("id < 0"), rows=0, size=0)
+
+
+def test_positions_without_broadcast(table, rows, monkeypatch):
+    """The way for tables whose keys are too many to broadcast."""
+    monkeypatch.setattr(ordering, "broadcast_if_short", lambda df: df)
+    got = ordering.with_position(table, F.col("value"), F.col("id"), by=["key"])
+    expected = {}
+    for key in {r[1] for r in rows}:
+        own = sorted((r for r in rows if r[1] == key), key=lambda r: (r[2], r[0]))
+        expected.update({r[0]: n for n, r in enumerate(own)})
+    assert {r["id"]: r["position"] for r in got.collect()} == expected
