@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quipu.functions.strings import strip, words, zfill
+from quipu.storage import stage
 
-_BLOCK = 4096  # rows of one source that one window holds
+_BLOCK_BITS = 12  # a window holds up to 4096 rows of one source
 _LEVELS = 2  # blocks of rows, then blocks of blocks
 
 
@@ -23,11 +24,10 @@ def _heading_before(rows: DataFrame, source: str, place: str, levels: int = _LEV
         whole = Window.partitionBy(source).orderBy(place).rowsBetween(*earlier)
         return rows.withColumn("_before", F.last("_heading", ignorenulls=True).over(whole))
     block = f"_block{levels}"
-    blocked = rows.withColumn(block, F.floor(F.col(place) / _BLOCK))
+    blocked = rows.withColumn(block, F.shiftright(place, _BLOCK_BITS))
     inside = Window.partitionBy(source, block).orderBy(place).rowsBetween(*earlier)
     local = blocked.withColumn("_local", F.last("_heading", ignorenulls=True).over(inside))
-    headed = F.when(F.col("_heading").isNotNull(), F.col(place))
-    lasts = blocked.groupBy(source, block).agg(F.max_by("_heading", headed).alias("_heading"))
+    lasts = stage(_last_headings(blocked, source, place, block), "headings")
     carried = _heading_before(lasts, source, block, levels - 1).select(
         F.col(source).alias("_s"), F.col(block).alias("_b"), F.col("_before").alias("_carried")
     )
@@ -39,6 +39,21 @@ def _heading_before(rows: DataFrame, source: str, place: str, levels: int = _LEV
     )
 
 
+def _last_headings(blocked: DataFrame, source: str, place: str, block: str) -> DataFrame:
+    """One row per block with its last heading.
+
+    The heading's place is found by a hash aggregate over numbers; its text is
+    then joined from the heading lines, which are few.
+    """
+    headed = F.when(F.col("_heading").isNotNull(), F.col(place))
+    places = blocked.groupBy(source, block).agg(F.max(headed).alias("_at"))
+    headings = blocked.filter(F.col("_heading").isNotNull()).select(
+        F.col(source).alias("_s"), F.col(place).alias("_p"), "_heading"
+    )
+    same = places[source].eqNullSafe(headings["_s"]) & (places["_at"] == headings["_p"])
+    return places.join(headings, same, "left").select(source, block, "_heading")
+
+
 def expand_crontab(
     lines: DataFrame,
     source: str = "source",

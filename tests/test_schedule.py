@@ -67,7 +67,7 @@ def test_commented_jobs_can_be_skipped(spark):
 
 def test_headings_carry_over_blocks(spark, monkeypatch):
     """Blocks of four lines make long, bare and headed stretches cross many blocks."""
-    monkeypatch.setattr(schedule, "_BLOCK", 4)
+    monkeypatch.setattr(schedule, "_BLOCK_BITS", 2)
     rng = random.Random(5)
     lines = []
     for n in range(700):
