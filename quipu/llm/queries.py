@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import decontamination, mixing, sharding, simhash
+from quipu.llm import decontamination, mixing, sharding, simhash, toxicity
+from quipu.llm.labelled import with_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -136,3 +137,10 @@ def op7_sharding(spark, folder):
 def op8_simhash(spark, folder):
     found = simhash.near_duplicates(_table(spark, folder, "documents"))
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@_query("op6_toxicity")
+def op6_toxicity(spark, folder):
+    docs = _table(spark, folder, "documents")
+    model = toxicity.trained(docs, _table(spark, folder, "labels"))
+    return with_scores(docs, toxicity.toxicity(F.col("text"), model), 0.5)
