@@ -14,7 +14,7 @@ third of all slots is spread over many tasks), which needs no range join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quipu.llm.common import earlier_total, word_count
@@ -39,8 +39,8 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int
     stops there, and the level of the others is raised until no further one stops.
     Each round of that is one sum over the sources.
     """
-    placed = sources.withColumn("_one", F.lit(1))
-    placed = earlier_total(placed, [], [F.col("source").asc_nulls_last()], "_one", "s").drop("_one")
+    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1  # one row per source
+    placed = sources.withColumn("s", place.cast("bigint"))
     cycle = F.array(*[F.lit(w) for w in weights])
     placed = stage(placed.withColumn("weight", F.element_at(cycle, (F.col("s") % len(weights) + 1).cast("int"))), "sources")
     most = F.col("source_size") * repeats
@@ -65,7 +65,8 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int
 def _schedule(sources: DataFrame, block: int) -> DataFrame:
     """Rows (s, slot, block): the slots of the mix in order, and the block each one takes."""
     counted = sources.select("s", F.ceil(F.col("quota") / block).cast("bigint").alias("slots"))
-    placed = stage(earlier_total(counted, [], [F.col("s")], "slots", "first"), "slots")
+    before = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)  # one row per source
+    placed = stage(counted.withColumn("first", F.coalesce(F.sum("slots").over(before), F.lit(0))), "slots")
     total = placed.agg(F.sum("slots")).first()[0] or 0
     bits = max(total - 1, 0).bit_length()
     steps = placed.filter("slots > 0").select("s", "first", "slots", F.expr(f"explode(sequence(0L, slots - 1, {_SLOTS_AT_ONCE}L))").alias("step"))
