@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import decontamination, mixing, sharding, simhash, toxicity
+from quipu.llm import decontamination, mixing, secrets, sharding, simhash, toxicity
 from quipu.llm.labelled import with_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,13 @@ def op6_toxicity(spark, folder):
     docs = _table(spark, folder, "documents")
     model = toxicity.trained(docs, _table(spark, folder, "labels"))
     return with_scores(docs, toxicity.toxicity(F.col("text"), model), 0.5)
+
+
+@_query("op1_secrets")
+def op1_secrets(spark, folder):
+    found = secrets.secrets(_table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{secrets.KINDS[k]}") for k in range(3)]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans")
+    )
