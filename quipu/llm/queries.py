@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import decontamination, mixing, secrets, sharding, simhash, toxicity
+from quipu.llm import decontamination, mixing, quality, secrets, sharding, simhash, toxicity
 from quipu.llm.labelled import with_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +154,10 @@ def op1_secrets(spark, folder):
     return found.select(
         "doc_id", *counts, F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans")
     )
+
+
+@_query("op9_quality")
+def op9_quality(spark, folder):
+    docs = _table(spark, folder, "documents")
+    model = quality.trained(docs, _table(spark, folder, "labels"))
+    return with_scores(docs, quality.quality(F.col("text"), model), 0.3)
