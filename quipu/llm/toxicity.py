@@ -23,14 +23,14 @@ from pyspark.sql import functions as F
 
 from quipu.llm.labelled import training_rows
 
-PER_CLASS = 3_000  # labelled rows of each class that are fitted on, at most
-MAX_CHARS = 8_000  # of each of them
+PER_CLASS = 2_500  # labelled rows of each class that are fitted on, at most
+MAX_CHARS = 6_000  # of each of them
 WINDOW = 64
 ORDINARY_BYTES = 96 * 1024
 TOXIC_BYTES = 24 * 1024
 GRAMS = (4, 5, 6)
 # Least share of toxic documents among those with a gram, as a lower confidence bound; the best of these is chosen.
-EVIDENCE = (0.6, 0.8, 0.9, 0.95)
+EVIDENCE = (0.6, 0.8, 0.95)
 
 
 @dataclass(frozen=True)
@@ -62,14 +62,11 @@ def _grams(word: str) -> set[str]:
 
 def _characteristic(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     """For each level of EVIDENCE: the words of toxic documents with a telling gram, the most frequent last."""
-    grams: dict[str, set[str]] = {}
     counts = []
     for texts in (toxic, ordinary):
         count: Counter[str] = Counter()
         for text in texts:
-            words = set(text.decode().split())
-            grams.update((w, _grams(w)) for w in words if w not in grams)
-            count.update(set().union(*(grams[w] for w in words)))
+            count.update(set().union(*map(_grams, set(text.decode().split()))))
         counts.append(count)
     lower = {}
     for gram, hits in counts[0].items():
@@ -77,13 +74,15 @@ def _characteristic(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
         share = hits / n
         spread = z * np.sqrt(share * (1 - share) / n + z * z / (4 * n * n))
         lower[gram] = (share + z * z / (2 * n) - spread) / (1 + z * z / n)
+    best: dict[str, float] = {}  # of the grams of a word
+    found: Counter[str] = Counter()
+    for text in toxic:
+        words = set(text.decode().split())
+        best.update((w, max((lower[g] for g in _grams(w)), default=0)) for w in words if w not in best)
+        found.update(w for w in words if best[w] >= EVIDENCE[0])
     contents = []
     for least in EVIDENCE:
-        telling = {gram for gram, bound in lower.items() if bound >= least}
-        found: Counter[str] = Counter()
-        for text in toxic:
-            found.update(w for w in set(text.decode().split()) if not telling.isdisjoint(grams[w]))
-        ranked = sorted(found, key=lambda w: (found[w], w))
+        ranked = sorted((w for w in found if best[w] >= least), key=lambda w: (found[w], w))
         contents.append("".join(f" {w} " for w in ranked).encode()[-TOXIC_BYTES:])
     return contents
 
