@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import decontamination, mixing, quality, secrets, sharding, simhash, toxicity
+from quipu.llm import decontamination, mixing, pii, quality, secrets, sharding, simhash, toxicity
 from quipu.llm.labelled import with_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,3 +161,14 @@ def op9_quality(spark, folder):
     docs = _table(spark, folder, "documents")
     model = quality.trained(docs, _table(spark, folder, "labels"))
     return with_scores(docs, quality.quality(F.col("text"), model), 0.3)
+
+
+@_query("op10_pii")
+def op10_pii(spark, folder):
+    docs = _table(spark, folder, "documents")
+    found = docs.select("doc_id", pii.personal_data(F.col("text"), pii.trained(docs)).alias("spans"))
+    base = F.filter("spans", lambda s: s["known"])
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["known"] & (s["kind"] == k))).cast("bigint").alias(f"n_{pii.KINDS[k]}") for k in range(4)]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans")
+    )
