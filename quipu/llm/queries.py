@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import decontamination, mixing, pii, quality, secrets, sharding, simhash, toxicity
+from quipu.llm import decontamination, mixing, neighbours, pii, quality, secrets, sharding, simhash, toxicity
 from quipu.llm.labelled import with_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,8 @@ def op10_pii(spark, folder):
     return found.select(
         "doc_id", *counts, F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans")
     )
+
+
+@_query("op5_neighbours")
+def op5_neighbours(spark, folder):
+    return neighbours.search(_table(spark, folder, "embeddings"), F.pmod(F.col("id"), F.lit(20)) == 0)
