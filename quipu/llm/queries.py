@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import decontamination, mixing, neighbours, pii, quality, secrets, sharding, simhash, toxicity
+from quipu.llm import chat, decontamination, mixing, neighbours, pii, quality, secrets, sharding, simhash, toxicity
 from quipu.llm.labelled import with_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,3 +177,28 @@ def op10_pii(spark, folder):
 @_query("op5_neighbours")
 def op5_neighbours(spark, folder):
     return neighbours.search(_table(spark, folder, "embeddings"), F.pmod(F.col("id"), F.lit(20)) == 0)
+
+
+@_query(
+    "op3_chat",
+    """
+    WITH placed AS (
+      SELECT conv_id, role, text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role NULLS LAST, text NULLS LAST) - 1 AS place,
+             count(*) OVER (PARTITION BY conv_id) AS n_turns
+      FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)),
+    marked AS (
+      SELECT *, string_agg(coalesce('r' || role, 'n') || chr(1) || coalesce('t' || text, 'n'), chr(2))
+                  OVER (PARTITION BY conv_id ORDER BY place) AS prefix
+      FROM placed),
+    kept AS (
+      SELECT min(conv_id) AS conv_id, count(*) AS copies FROM marked WHERE place = n_turns - 1
+      GROUP BY prefix HAVING prefix NOT IN (SELECT prefix FROM marked WHERE place < n_turns - 1))
+    SELECT conv_id, n_turns, copies, CAST(place // 256 AS BIGINT) AS segment,
+           string_agg('<|im_start|>' || regexp_replace(coalesce(role, 'unknown'), '<\\|(im_start|im_end)\\|>', '< |\\1|>', 'g') || chr(10)
+             || regexp_replace(coalesce(text, ''), '<\\|(im_start|im_end)\\|>', '< |\\1|>', 'g') || '<|im_end|>' || chr(10), '' ORDER BY place) AS text
+    FROM marked JOIN kept USING (conv_id) GROUP BY conv_id, n_turns, copies, place // 256
+    """,
+)
+def op3_chat(spark, folder):
+    return chat.conversations(_table(spark, folder, "conversations"))
