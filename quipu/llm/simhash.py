@@ -87,7 +87,7 @@ def fingerprint(text: Column, shingle: int = 3) -> Column:
 
 def forest(members: np.ndarray) -> list[tuple[int, int]]:
     """Links of at most DISTANCE bits that connect ``members`` as all such links would."""
-    links, rest = [], members
+    links, rest = [], members.view(np.uint64)  # bits of a signed number are counted without its sign
     while len(rest) > 1:
         reached, rest = [rest[0]], rest[1:]
         while reached and len(rest):
@@ -95,7 +95,7 @@ def forest(members: np.ndarray) -> list[tuple[int, int]]:
             near = np.bitwise_count(rest ^ node) <= DISTANCE
             if near.any():
                 found = rest[near]
-                links += [(int(node), int(other)) for other in found]
+                links += [(_signed(int(node)), _signed(int(other))) for other in found]
                 reached += list(found)
                 rest = rest[~near]
     return links
