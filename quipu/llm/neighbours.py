@@ -31,7 +31,7 @@ SAMPLE = 2_000  # vectors that r and W are fitted on, at most
 SUCCESS = 0.96
 TABLES, HASHES = 1, 3
 CHUNK = 4096
-_BUCKET_ROWS = 512  # rows of a bucket that W aims at
+_BUCKET_ROWS = 4096  # rows of a bucket that W aims at
 _BEAM = 20_000
 _SLOT_BITS = 16
 _EXACT = 0.5 * np.vectorize(math.erf)(np.linspace(-8, 8, 16_001) / math.sqrt(2)) + 0.5
