@@ -7,8 +7,8 @@ per choice of three blocks (20 rows) and compared only inside equal choices.
 Equal fingerprints are folded before that, so a group of exact copies of any size is
 one row. A bucket never writes its pairs: it returns the links of a spanning forest.
 Buckets of more than ``BUCKET_ROWS`` different fingerprints are dealt out again by
-56 finer choices of the bits still free; those share 52 bits, so no group of the
-second round can hold more than 4096 fingerprints and no link is lost.
+56 finer choices of the bits still free; those share 51 bits, so no group of the
+second round can hold more than 8192 fingerprints and no link is lost.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from quipu.storage import stage
 
 BITS, DISTANCE = 64, 3
 BUCKET_ROWS = 4096
+FINER_ROWS = 8192  # at most 13 bits are free in a bucket of the second round
 _SEED = 42
 _HASHES_AT_ONCE = 1 << 16  # bounds the memory of one very long text
 
@@ -159,7 +160,7 @@ def _finer(table: Column, free_blocks: int = 8) -> Column:
     choices = []
     for mask in TABLES:
         free = [i for i in range(BITS) if not mask >> i & 1]
-        cuts = [sum(1 << i for i in part) for part in np.array_split(free, free_blocks)]
+        cuts = [sum(1 << int(i) for i in part) for part in np.array_split(free, free_blocks)]
         keys = [mask | sum(kept) for kept in combinations(cuts, free_blocks - DISTANCE)]
         choices.append(F.array(*[F.lit(_signed(k)) for k in keys]))
     return F.element_at(F.array(*choices), table + 1)
@@ -174,7 +175,7 @@ def links(fps: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     if not large.isEmpty():
         rows = large.select(F.col("a").alias("fp"), "table", F.posexplode(_finer(F.col("table"))).alias("cut", "mask"))
         rows = rows.select(F.expr("table * 56 + cut").alias("table"), F.expr("fp & mask").alias("bucket"), "fp")
-        found = found.unionByName(stage(_dealt(rows, 1 << 12), "links"))
+        found = found.unionByName(stage(_dealt(rows, FINER_ROWS), "links"))
     return found.filter("table < 0").select("a", "b").distinct()
 
 

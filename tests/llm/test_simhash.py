@@ -98,7 +98,7 @@ def test_a_long_chain_is_one_component(spark):
 
 
 def test_forest_spans():
-    members = np.array([0, 1, 3, 7, 1 << 60, (1 << 60) + 1], np.int64)
+    members = np.array([0, 1, 3, 7, 0xFFFF << 40, (0xFFFF << 40) + 1], np.int64)
     assert len(simhash.forest(members)) == 4
     assert simhash.forest(np.array([-1, 1], np.int64)) == [] and simhash.forest(np.array([-1, -2, (1 << 63) - 1], np.int64))[1:] == [(-1, (1 << 63) - 1)]
 
