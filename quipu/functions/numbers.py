@@ -11,8 +11,17 @@ UNKNOWN_OPERATION = "Operación no válida"
 
 
 def floor_div(a: Column, b: Column) -> Column:
-    """Quotient rounded down; null on a zero divisor."""
-    return F.floor(F.try_divide(a, b))
+    """Quotient of whole numbers rounded down, exact at any size; null on a zero divisor."""
+    divisor = F.nullif(b, F.lit(0))
+    rest = F.try_mod(a, b)
+    down = (rest != 0) & ((rest < 0) != (b < 0))
+    return F.call_function("div", a, divisor) - F.when(down, 1).otherwise(0)
+
+
+def floor_div_real(a: Column, b: Column) -> Column:
+    """Quotient of doubles rounded down, as a double; null on a zero divisor."""
+    quotient = F.try_divide(a, b)
+    return quotient - floor_mod(quotient, F.lit(1.0))
 
 
 def floor_mod(a: Column, b: Column) -> Column:
@@ -41,16 +50,59 @@ def fmin(a: Column, b: Column) -> Column:
     return F.least(F.nanvl(a, F.lit(None)), F.nanvl(b, F.lit(None)))
 
 
-def log_ieee(x: Column) -> Column:
-    """Natural logarithm with -inf at zero and NaN below."""
+def _ieee(x: Column, edge: int, logarithm) -> Column:
+    """A logarithm with -inf at the edge of its range and NaN below."""
     return (
-        F.when(x > 0, F.log(x))
-        .when(x == 0, F.lit(float("-inf")))
-        .when(x < 0, F.lit(float("nan")))
+        F.when(x > edge, logarithm(x))
+        .when(x == edge, F.lit(float("-inf")))
+        .when(x < edge, F.lit(float("nan")))
         .otherwise(x.cast("double"))
     )
 
 
+def log_ieee(x: Column) -> Column:
+    return _ieee(x, 0, F.log)
+
+
+def log10_ieee(x: Column) -> Column:
+    return _ieee(x, 0, F.log10)
+
+
+def log2_ieee(x: Column) -> Column:
+    return _ieee(x, 0, F.log2)
+
+
+def log1p_ieee(x: Column) -> Column:
+    return _ieee(x, -1, F.log1p)
+
+
+_LIMB = 9  # decimal digits that are multiplied at once
+
+
+def factorial_text(n: Column) -> Column:
+    """All digits of a factorial as text; null below zero.
+
+    The digits are kept in groups of nine, lowest first, so no number is too long.
+    """
+    limb = F.lit(10**_LIMB).cast("bigint")
+
+    def times(limbs: Column, k: Column) -> Column:
+        start = F.struct(F.lit(0).cast("bigint").alias("carry"), F.array().cast("array<bigint>").alias("out"))
+
+        def step(state: Column, x: Column) -> Column:
+            value = x * k + state["carry"]
+            return F.struct(F.call_function("div", value, limb).alias("carry"), F.concat(state["out"], F.array(value % limb)).alias("out"))
+
+        def end(state: Column) -> Column:
+            return F.when(state["carry"] > 0, F.concat(state["out"], F.array(state["carry"]))).otherwise(state["out"])
+
+        return F.aggregate(limbs, start, step, end)
+
+    limbs = F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), F.array(F.lit(1).cast("bigint")), lambda a, k: times(a, k.cast("bigint")))
+    digits = F.array_join(F.transform(F.reverse(limbs), lambda x: F.lpad(x.cast("string"), _LIMB, "0")), "")
+    return F.when(n >= 0, F.ltrim(digits, F.lit("0")))
+
+
 def calculate(a: Column, b: Column, op: Column) -> tuple[Column, Column]:
     """Result and error text of a calculation chosen by its sign."""
     result = (
@@ -73,12 +125,23 @@ def text_to_int(s: Column) -> Column:
 
 
 def to_text(x: Column) -> Column:
-    """A double as Python prints it: no exponent between 1e-4 and 1e16."""
+    """A double as Python prints it: an exponent only below 1e-4 and from 1e16, and nan, inf, -inf."""
     plain = F.regexp_replace(
         F.abs(x).cast("decimal(38,20)").cast("string"), r"(\.\d+?)0+$", "$1"
     )
     signed = F.when(x < 0, F.concat(F.lit("-"), plain)).otherwise(plain)
-    return F.when((F.abs(x) >= 1e-4) & (F.abs(x) < 1e16), signed).otherwise(x.cast("string"))
+    # The engine writes 1.0E-5 and 1.25E16; Python 1e-05 and 1.25e+16.
+    parts = F.split(F.regexp_replace(x.cast("string"), r"\.0E", "E"), "E")
+    power = parts[1].cast("int")
+    digits = F.lpad(F.abs(power).cast("string"), F.greatest(F.length(F.abs(power).cast("string")), F.lit(2)), F.lit("0"))
+    exponent = F.concat(parts[0], F.when(power < 0, "e-").otherwise("e+"), digits)
+    return (
+        F.when(F.isnan(x), "nan")
+        .when(F.abs(x) == float("inf"), F.when(x > 0, "inf").otherwise("-inf"))
+        .when(x == 0, x.cast("string"))
+        .when((F.abs(x) >= 1e-4) & (F.abs(x) < 1e16), signed)
+        .when(x.isNotNull(), exponent)
+    )
 
 
 def truthy_number(x: Column) -> Column:

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 
 def merge(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join in which missing keys match missing keys; key columns come once.
+    """Inner or left join in which missing keys match missing keys; key columns come once.
 
     Spark chooses the join by the sizes it sees and splits skewed partitions.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"{how} joins would lose the keys of the right side; swap the sides")
     side = right.select(
         *[F.col(k).alias(f"_right_{k}") for k in on], *[c for c in right.columns if c not in on]
     )
@@ -40,6 +42,30 @@ def with_membership(df: DataFrame, key: str, members: DataFrame, name: str) -> D
     )
 
 
+def _both(a: DataFrame, b: DataFrame, how: str) -> DataFrame:
+    """The different rows of ``a``, with ``_found`` where ``b`` has them too.
+
+    Repeats are folded by each task before the join, so a hot key is one row. Semi and
+    anti joins would be moved below that fold by the optimizer, so none is used.
+    """
+    left = a.distinct()
+    side = b.toDF(*[f"_right_{c}" for c in b.columns]).distinct().withColumn("_found", F.lit(True))
+    same = F.lit(True)
+    for mine, other in zip(left.columns, side.columns):
+        same = same & left[mine].eqNullSafe(side[other])
+    return left.join(side, same, how).select(*[left[c] for c in left.columns], "_found")
+
+
+def intersection(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows of both tables, once; missing values equal each other."""
+    return _both(a, b, "inner").drop("_found")
+
+
+def difference(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows of the first table that the second lacks, once; missing values equal each other."""
+    return _both(a, b, "left").filter("_found IS NULL").drop("_found")
+
+
 def most(df: DataFrame, figure: str) -> DataFrame:
     """All rows that share the largest figure."""
     return df.filter(F.col(figure) == df.agg(F.max(figure)).scalar())

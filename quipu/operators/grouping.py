@@ -6,35 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """Rows per present value, most frequent first, ties by value."""
-    return (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), F.asc(column))
-    )
-
-
-def total_by(
-    sales: DataFrame, key: str, amount: Column, kind: str, labels: DataFrame | None = None
-) -> DataFrame:
-    """Sum per label as (descripcion, valor, tipo); rows without a label are left out.
-
-    ``labels`` maps ``key`` to ``label``. The fact rows are summed per key before
-    the join, so neither a hot key nor the width of the facts reaches a shuffle.
-    """
-    totals = sales.groupBy(F.col(key).alias("_key")).agg(F.sum(amount).alias("_sum"))
-    if labels is None:
-        named = totals.withColumnRenamed("_key", "label")
-    else:
-        named = totals.join(labels, totals["_key"] == labels[key])
-    return (
-        named.filter(F.col("label").isNotNull())
-        .groupBy(F.col("label").alias("descripcion"))
-        .agg(F.sum("_sum").alias("valor"))
-        .withColumn("tipo", F.lit(kind))
-    )
+def value_counts(df: DataFrame, column: str, by_value: bool = False) -> DataFrame:
+    """Rows per present value: most frequent first and ties by value, or all in order of the value."""
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return counts.orderBy(column) if by_value else counts.orderBy(F.desc("n"), F.asc(column))
 
 
 def sales_summary(
@@ -45,52 +20,97 @@ def sales_summary(
     zones: DataFrame | None = None,
     products: DataFrame | None = None,
 ) -> DataFrame:
-    """Sales by zone, sales by product, total sales and number of records."""
+    """Sales by zone, sales by product, total sales and number of records.
+
+    ``zones`` and ``products`` map the key column to ``label``; rows without a label are
+    left out. The facts are read once and folded per key before the labels are joined,
+    so neither a hot key nor the width of the facts reaches a shuffle.
+    """
+    facts = sales.select(F.col(zone).alias("_zone"), F.col(product).alias("_product"), amount.alias("_amount"))
+    sets = facts.groupingSets([["_zone"], ["_product"], []], "_zone", "_product")
+    folded = sets.agg(F.sum("_amount").alias("_sum"), F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_set"))
+    by_zone, by_product, whole = F.col("_set") == 1, F.col("_set") == 2, F.col("_set") == 3
+    named = folded
+    for labels, key, fact, here, name in (
+        (zones, zone, "_zone", by_zone, "_zone_label"), (products, product, "_product", by_product, "_product_label"),
+    ):
+        if labels is None:
+            named = named.withColumn(name, F.col(fact).cast("string"))
+        else:
+            side = labels.select(F.col(key).alias("_key"), F.col("label").alias(name))
+            named = named.join(side, here & (F.col(fact) == F.col("_key")), "left").drop("_key")
+    kind = folded.schema["_sum"].dataType
     # The words of the report.
-    by_zone = total_by(sales, zone, amount, "Zonas", zones)
-    by_product = total_by(sales, product, amount, "Productos", products)
-    whole = sales.agg(
-        F.coalesce(F.sum(amount), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("records")
-    )
-    kind = whole.schema["total"].dataType
-    overall = whole.select(
-        F.inline(
-            F.array(
-                F.struct(
-                    F.lit("Venta").alias("descripcion"), F.col("total").alias("valor")
-                ),
-                F.struct(
-                    F.lit("Registros").alias("descripcion"), F.col("records").cast(kind).alias("valor")
-                ),
-            )
-        )
-    ).withColumn("tipo", F.lit("Resumen"))
-    return by_zone.unionByName(by_product).unionByName(overall)
+    lines = F.when(by_zone, F.array(_line("_zone_label", "_sum", "Zonas")))
+    lines = lines.when(by_product, F.array(_line("_product_label", "_sum", "Productos")))
+    records = F.struct(F.lit("Registros").alias("descripcion"), F.col("_n").cast(kind).alias("valor"), F.lit("Resumen").alias("tipo"))
+    total = F.struct(F.lit("Venta").alias("descripcion"), F.col("_sum").alias("valor"), F.lit("Resumen").alias("tipo"))
+    lines = lines.when(whole, F.array(total, records))
+    spread = named.select(F.inline(lines)).filter("descripcion IS NOT NULL")
+    # An empty table has no grouping sets, but a total of nothing.
+    zero = sales.sparkSession.createDataFrame([("Venta", "Resumen"), ("Registros", "Resumen")], "descripcion string, tipo string")
+    zero = zero.select("descripcion", F.lit(0).cast(kind).alias("valor"), "tipo")
+    sums = spread.unionByName(zero).groupBy("descripcion", "tipo").agg(F.sum("valor").cast(kind).alias("valor"))
+    return sums.select("descripcion", "valor", "tipo")
+
+
+def _line(label: str, figure: str, kind: str) -> Column:
+    return F.struct(F.col(label).alias("descripcion"), F.col(figure).alias("valor"), F.lit(kind).alias("tipo"))
+
+
+MOST_COLUMNS = 1000  # a wider cross table is refused; keep it in long form
+
+
+def _spread(df: DataFrame, column: str, values: list | None, most: int) -> tuple[Column, list[str]]:
+    """The label of every row's column value, and all labels in order.
+
+    Without ``values`` the labels are read from the data, at most ``most`` of them. A
+    missing value is labelled "null". With ``values`` a row that has another value,
+    or none, fails the query instead of being dropped.
+    """
+    text = F.col(column).cast("string")
+    label = F.coalesce(text, F.lit("null"))
+    if values is not None:
+        unlisted = F.raise_error(F.format_string("value %s of %s is not listed", label, F.lit(column)))
+        return F.when(text.isin(*map(str, values)), text).otherwise(unlisted), [str(v) for v in values]
+    found = df.select(text.alias("text"), F.col(column).alias("value")).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values; use the long form")
+    if None in (known := [r["text"] for r in found]) and "null" in known:
+        raise ValueError(f"{column} has both missing values and the text 'null'")
+    present = sorted((r for r in found if r["text"] is not None), key=lambda r: r["value"])
+    return label, [r["text"] for r in present] + ["null"] * (None in known)
 
 
 def pivot_unique(
-    df: DataFrame, index: str, column: str, values: list[str], measures: list[str]
+    df: DataFrame, index: str, column: str, measures: list[str], values: list | None = None, most: int = MOST_COLUMNS
 ) -> DataFrame:
-    """Long to wide without aggregation; fails if a cell is filled twice."""
-    cells = df.groupBy(index, column).agg(
+    """Long to wide without aggregation; fails if a cell is filled twice.
+
+    The columns are the values found, or exactly ``values`` (see ``_spread``).
+    """
+    label, labels = _spread(df, column, values, most)
+    cells = df.groupBy(index, label.alias("_label")).agg(
         F.count(F.lit(1)).alias("_n"), *[F.first(m).alias(m) for m in measures]
     )
     repeated = F.raise_error(F.format_string("two rows for one cell of %s and %s", F.lit(index), F.lit(column)))
     checked = cells.select(
-        index, column, *[F.when(F.col("_n") > 1, repeated).otherwise(F.col(m)).alias(m) for m in measures]
+        index, "_label", *[F.when(F.col("_n") > 1, repeated).otherwise(F.col(m)).alias(m) for m in measures]
     )
     firsts = [F.first(m).alias(m) for m in measures]
-    return checked.groupBy(index).pivot(column, values).agg(*firsts)
+    return checked.groupBy(index).pivot("_label", labels).agg(*firsts)
 
 
 def pivot_table(
     df: DataFrame,
     index: str,
     column: str,
-    values: list[str],
     aggregates: list[Column],
+    values: list | None = None,
     fill=None,
+    most: int = MOST_COLUMNS,
 ) -> DataFrame:
-    """Cross table of aggregates. The column values are given, which saves a scan."""
-    wide = df.groupBy(index).pivot(column, values).agg(*aggregates)
+    """Cross table of aggregates; the columns are the values found, or exactly ``values``."""
+    label, labels = _spread(df, column, values, most)
+    wide = df.withColumn("_label", label).groupBy(index).pivot("_label", labels).agg(*aggregates)
     return wide if fill is None else wide.na.fill(fill)

@@ -1,4 +1,10 @@
-"""Matrices and pixel tables as (i, j, v) cells; a cell that is absent is zero."""
+"""Matrices and pixel tables as (i, j, v) cells.
+
+Means, sorts, slices that are set and functions of single cells take the cells that are
+there; ``filled`` adds the absent ones of a matrix as zeros. ``eye`` and ``from_diagonal``
+store only their diagonal. Sums, products, ``elementwise`` and ``with_vector`` count an
+absent cell as zero by themselves.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quipu.operators.ordering import with_position
-from quipu.storage import broadcast_if_short
+
 
 def cells(df: DataFrame, row: str, values: str) -> DataFrame:
     """Cells of a table that holds one array per row."""
@@ -31,18 +37,12 @@ def full(spark: SparkSession, rows: int, columns: int, value: float) -> DataFram
     )
 
 
-def arange(spark: SparkSession, start: int, stop: int, step: int = 1) -> DataFrame:
-    """(i, v): whole numbers from start up to, not including, stop."""
-    count = max(0, -(-(stop - start) // step))
-    return spark.range(count).select(F.col("id").alias("i"), (F.lit(start) + F.col("id") * step).alias("v"))
-
-
-def linspace(spark: SparkSession, low: float, high: float, count: int) -> DataFrame:
-    """(i, v): evenly spaced numbers, both ends included."""
-    step = (high - low) / (count - 1) if count > 1 else 0.0
-    value = F.lit(float(low)) + F.col("id") * F.lit(step)
-    last = F.when((F.col("id") == count - 1) & F.lit(count > 1), F.lit(float(high))).otherwise(value)
-    return spark.range(count).select(F.col("id").alias("i"), last.alias("v"))
+def filled(a: DataFrame, rows: int, columns: int) -> DataFrame:
+    """Every cell of a matrix of that shape; absent ones are zero."""
+    grid = a.sparkSession.range(rows).select(
+        F.col("id").alias("i"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(columns - 1).cast("bigint"))).alias("j")
+    )
+    return grid.join(a, ["i", "j"], "left").select("i", "j", F.coalesce("v", F.lit(0.0)).alias("v"))
 
 
 def eye(spark: SparkSession, n: int, dense: bool = False) -> DataFrame:
@@ -52,28 +52,29 @@ def eye(spark: SparkSession, n: int, dense: bool = False) -> DataFrame:
     return spark.range(n).select(F.col("id").alias("i"), F.col("id").alias("j"), F.lit(1.0).alias("v"))
 
 
-def random_normal(spark: SparkSession, rows: int, columns: int, seed: int) -> DataFrame:
-    return full(spark, rows, columns, 0.0).withColumn("v", F.randn(seed))
-
-
 def elementwise(a: DataFrame, b: DataFrame, op: Callable[[Column, Column], Column]) -> DataFrame:
-    """``op`` on the cells of two matrices at the same place."""
+    """``op`` on the cells at the same place; one that only one side has meets a zero.
+
+    Cells absent on both sides stay absent, so fill them where ``op(0, 0)`` is not zero.
+    """
     other = b.withColumnRenamed("v", "_w")
-    return a.join(other, ["i", "j"]).select("i", "j", op(F.col("v"), F.col("_w")).alias("v"))
+    v, w = F.coalesce("v", F.lit(0.0)), F.coalesce("_w", F.lit(0.0))
+    return a.join(other, ["i", "j"], "full").select("i", "j", op(v, w).alias("v"))
 
 
 def with_vector(a: DataFrame, vector: DataFrame, op: Callable[[Column, Column], Column]) -> DataFrame:
-    """``op`` on every row and a (j, v) vector.
+    """``op`` on every cell and the entry of a (j, v) vector in its column, zero if absent.
 
-    The vector is broadcast only after its length has been checked; a longer one
-    is joined by shuffle, where its many columns spread the cells.
+    Spark broadcasts the vector or joins by shuffle, by the size it finds.
     """
-    other = broadcast_if_short(vector.select("j", F.col("v").alias("_w")))
-    return a.join(other, "j").select("i", "j", op(F.col("v"), F.col("_w")).alias("v"))
+    other = vector.select("j", F.col("v").alias("_w"))
+    return a.join(other, "j", "left").select("i", "j", op(F.col("v"), F.coalesce("_w", F.lit(0.0))).alias("v"))
 
 
 def take(a: DataFrame, rows: slice = slice(None), columns: slice = slice(None)) -> DataFrame:
     """Rows and columns from start to before stop, counted from zero again."""
+    if min(rows.start or 0, rows.stop or 0, columns.start or 0, columns.stop or 0) < 0 or rows.step or columns.step:
+        raise ValueError("slices of cells start and stop at places from 0, without a step")
     out = a
     for axis, part in (("i", rows), ("j", columns)):
         if part.start:

@@ -110,12 +110,20 @@ def with_rank(
     )
 
 
-def row_slice(df: DataFrame, start: int, stop: int, *order: Column, in_memory: int = 10_000) -> DataFrame:
-    """Rows ``start`` to ``stop - 1`` in ``order``; the end is left out.
+def row_slice(df: DataFrame, start: int | None, stop: int | None, *order: Column, inclusive: bool = False) -> DataFrame:
+    """Rows from place ``start`` to before place ``stop`` in ``order``; with ``inclusive`` the end is kept.
 
-    Short slices use Spark's top-k operator; others number the rows.
+    None is the first or last row, and a negative place counts from the end, as in Python.
     """
-    if stop <= in_memory:
-        return df.orderBy(*order).offset(start).limit(max(stop - start, 0))
     numbered = with_position(df, *order, name="_position")
-    return numbered.filter(F.col("_position").between(start, stop - 1)).drop("_position")
+    size = F.lit(numbered.count()) if min(start or 0, stop or 0) < 0 else None
+
+    def place(at: int) -> Column:
+        return F.lit(at) if at >= 0 else size + at
+
+    if start is not None:
+        numbered = numbered.filter(F.col("_position") >= place(start))
+    if stop is not None:
+        inside = F.col("_position") <= place(stop) if inclusive else F.col("_position") < place(stop)
+        numbered = numbered.filter(inside)
+    return numbered.drop("_position")

@@ -1,9 +1,9 @@
 """Exact quantiles, box-plot figures and outliers.
 
 Spark's ``percentile`` keeps every distinct value of a group in one task. Here
-values are counted first, which folds repeats before the shuffle, and the wanted
-order statistics are picked by running count. If few distinct values are left, a
-window per key gives that count; else they are range-sorted over many tasks.
+values are counted first, which folds repeats before the shuffle, then range-sorted
+over many tasks. Running counts are taken only in the sorted partitions that hold a
+wanted rank, so no task sees a whole column or key.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quipu.operators import ordering
 from quipu.operators.ordering import PART, SLOT
-from quipu.storage import SHORT, is_short, stage
+from quipu.storage import stage
 
 
 def unpivot(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
@@ -80,18 +80,6 @@ def _pick(rows: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
     return found.select(*keys, "n", *out)
 
 
-def _with_before(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """Running counts of a table that has been found short."""
-    whole = Window.partitionBy(*keys)
-    earlier = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumns(
-        {
-            "_before": F.coalesce(F.sum("_n").over(earlier), F.lit(0)),
-            "_total": F.sum("_n").over(whole),
-        }
-    )
-
-
 def _near_ranks(stored: DataFrame, totals: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
     """Running counts in the sorted partitions that hold a wanted rank.
 
@@ -117,13 +105,11 @@ def quantiles(
     probs: list[float],
     by: list[str] | None = None,
     approximate: bool = False,
-    in_memory: int = SHORT,
 ) -> DataFrame:
     """One row per key and column: ``n`` and the quantiles ``q25``, ``q50``...
 
     Linear interpolation, nulls and NaN skipped. ``approximate`` trades exactness
-    for a single aggregate. More than ``in_memory`` distinct values are sorted by
-    many tasks.
+    for a single aggregate.
     """
     keys = [*(by or []), "column"]
     long = unpivot(df, columns, by)
@@ -132,10 +118,7 @@ def quantiles(
             F.count("value").alias("n"),
             *[F.percentile_approx("value", float(p), 100_000).alias(_prob_name(p)) for p in probs],
         )
-    counts = _counts(long, keys)
-    if is_short(counts, in_memory):
-        return _pick(_with_before(counts, keys), keys, probs)
-    return _pick(_near_ranks(*_sorted(counts, keys), keys, probs), keys, probs)
+    return _pick(_near_ranks(*_sorted(_counts(long, keys), keys), keys, probs), keys, probs)
 
 
 def box_stats(
@@ -143,7 +126,6 @@ def box_stats(
     column: str,
     by: list[str] | None = None,
     reach: float = 1.5,
-    in_memory: int = SHORT,
 ) -> DataFrame:
     """Quartiles, whisker ends and outlier count per key, as a box plot draws them."""
     keys = [*(by or []), "column"]
@@ -161,17 +143,12 @@ def box_stats(
     def same_key(rows: DataFrame) -> Column:
         return reduce(lambda a, b: a & b, [rows[k].eqNullSafe(F.col(f"_box_{k}")) for k in keys])
 
-    if is_short(counts, in_memory):
-        # There are no more boxes than counts, so they may be broadcast.
-        boxes = F.broadcast(fences(_pick(_with_before(counts, keys), keys, probs)))
-        fenced = counts.join(boxes, same_key(counts))
-    else:
-        stored, totals = _sorted(counts, keys)
-        boxes = fences(_pick(_near_ranks(stored, totals, keys, probs), keys, probs))
-        parts = totals.join(boxes, same_key(totals)).select(
-            PART, *keys, "n", "q25", "q50", "q75", "_low", "_high"
-        )
-        fenced = ordering.attach(stored, parts, keys)
+    stored, totals = _sorted(counts, keys)
+    boxes = fences(_pick(_near_ranks(stored, totals, keys, probs), keys, probs))
+    parts = totals.join(boxes, same_key(totals)).select(
+        PART, *keys, "n", "q25", "q50", "q75", "_low", "_high"
+    )
+    fenced = ordering.attach(stored, parts, keys)
     inside = F.col("value").between(F.col("_low"), F.col("_high"))
     return fenced.groupBy(*keys).agg(
         F.max("n").alias("n"),

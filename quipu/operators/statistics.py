@@ -107,23 +107,21 @@ def bins_2d(
             for c in columns
         ],
     )
-    # Counted once per full combination of bins, which is far shorter than the
-    # table, before the pairs are taken out of it.
-    combined = binned.groupBy(*names, *[f"_bin_{c}" for c in columns]).agg(F.count(F.lit(1)).alias("n"))
+    # The pairs of a row are counted by its task: at most bins * bins groups per pair and hue.
     cells = F.array(
         *[
             F.struct(
                 F.lit(a).alias("x"), F.lit(b).alias("y"),
-                F.col(f"_bin_{a}").alias("x_bin"), F.col(f"_bin_{b}").alias("y_bin"), "n",
+                F.col(f"_bin_{a}").alias("x_bin"), F.col(f"_bin_{b}").alias("y_bin"),
             )
             for a, b in pairs
         ]
     )
     return (
-        combined.select(*names, F.inline(cells))
+        binned.select(*names, F.inline(cells))
         .filter("x_bin IS NOT NULL AND y_bin IS NOT NULL")
         .groupBy(*names, "x", "y", "x_bin", "y_bin")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
 
 

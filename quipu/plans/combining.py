@@ -9,19 +9,18 @@ from quipu.plans.catalog import Tables, query
 
 
 def _customers(t: Tables):
-    return t.customer.select(
-        "c_custkey", F.expr("nullif(c_nationkey, 3)").alias("nationkey"), "c_acctbal"
-    )
+    """Every third customer has a key without a partner, and some have none."""
+    key = F.expr("nullif(c_nationkey + CASE WHEN c_custkey % 3 = 0 THEN 1000 ELSE 0 END, 3)")
+    return t.customer.select("c_custkey", key.alias("nationkey"), "c_acctbal")
 
 
 def _nations(t: Tables):
-    return t.nation.select(F.expr("nullif(n_nationkey, 3)").alias("nationkey"), "n_name").filter(
-        "n_name <> 'NATION_5'"
-    )
+    return t.nation.select(F.expr("nullif(n_nationkey, 3)").alias("nationkey"), "n_name")
 
 
-_SIDES = """WITH c AS (SELECT c_custkey, nullif(c_nationkey, 3) AS nationkey, c_acctbal FROM customer),
-    n AS (SELECT nullif(n_nationkey, 3) AS nationkey, n_name FROM nation WHERE n_name <> 'NATION_5')
+_SIDES = """WITH c AS (SELECT c_custkey, nullif(c_nationkey + CASE WHEN c_custkey % 3 = 0 THEN 1000 ELSE 0 END, 3) AS nationkey,
+        c_acctbal FROM customer),
+    n AS (SELECT nullif(n_nationkey, 3) AS nationkey, n_name FROM nation)
     SELECT c_custkey, c.nationkey, c_acctbal, n_name FROM c """
 
 
@@ -90,14 +89,15 @@ def concat_same(t: Tables):
 
 
 def _sets(t: Tables):
+    """Two whole key columns; some keys of each are moved out of the other's range."""
     return (
-        t.lineitem.filter("l_returnflag = 'R'").select(F.col("l_partkey").alias("k")),
-        t.lineitem.filter("l_linestatus = 'O' AND l_quantity > 40").select(F.col("l_partkey").alias("k")),
+        t.lineitem.select(F.expr("l_partkey + CASE WHEN l_partkey % 3 = 0 THEN 1 ELSE 0 END").alias("k")),
+        t.part.select(F.expr("p_partkey * 2").alias("k")),
     )
 
 
-_A = "SELECT l_partkey AS k FROM lineitem WHERE l_returnflag = 'R'"
-_B = "SELECT l_partkey AS k FROM lineitem WHERE l_linestatus = 'O' AND l_quantity > 40"
+_A = "SELECT l_partkey + CASE WHEN l_partkey % 3 = 0 THEN 1 ELSE 0 END AS k FROM lineitem"
+_B = "SELECT p_partkey * 2 AS k FROM part"
 
 
 @query("set_union", f"{_A} UNION {_B}")
@@ -108,14 +108,12 @@ def set_union(t: Tables):
 
 @query("set_intersect", f"{_A} INTERSECT {_B}")
 def set_intersect(t: Tables):
-    a, b = _sets(t)
-    return a.intersect(b)
+    return combining.intersection(*_sets(t))
 
 
 @query("set_difference", f"{_A} EXCEPT {_B}")
 def set_difference(t: Tables):
-    a, b = _sets(t)
-    return a.subtract(b)
+    return combining.difference(*_sets(t))
 
 
 @query("set_dedupe", "SELECT DISTINCT l_suppkey FROM lineitem")

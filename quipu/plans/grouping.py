@@ -169,6 +169,14 @@ def value_counts(t: Tables):
     return grouping.value_counts(t.events, "event_type")
 
 
+@query(
+    "value_counts_by_value",
+    "SELECT l_quantity, count(*) AS n FROM lineitem WHERE l_quantity IS NOT NULL GROUP BY l_quantity ORDER BY l_quantity",
+)
+def value_counts_by_value(t: Tables):
+    return grouping.value_counts(t.lineitem, "l_quantity", by_value=True)
+
+
 @query("class_report", "SELECT count(*) AS cantidad, c_mktsegment AS clase FROM customer GROUP BY c_mktsegment")
 def class_report(t: Tables):
     return (
@@ -203,45 +211,38 @@ def sales_summary(t: Tables):
     return report.withColumn("valor", F.col("valor").cast("double"))
 
 
-_STATUS = ["F", "O", "P"]
-
-
 def _cells(t: Tables):
     return t.orders.groupBy("o_orderpriority", "o_orderstatus").agg(
         F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("top")
     )
 
 
-def _pivot_sql(*columns: str) -> str:
-    fields = ", ".join(
-        template.format(s=s) for s in _STATUS for template in columns
-    )
-    return f"SELECT o_orderpriority, {fields} FROM orders GROUP BY o_orderpriority"
+_CELLS = """SELECT o_orderpriority, o_orderstatus, count(*) AS n, max(o_totalprice) AS top,
+    round(sum(o_totalprice), 2) AS "sum", round(avg(o_totalprice), 4) AS mean FROM orders GROUP BY ALL"""
 
 
-@query("pivot_single", _pivot_sql("nullif(count(*) FILTER (o_orderstatus = '{s}'), 0) AS \"{s}\""))
+@query(
+    "pivot_single",
+    f"SELECT * FROM (PIVOT (SELECT o_orderpriority, o_orderstatus, n FROM ({_CELLS})) ON o_orderstatus USING first(n))",
+)
 def pivot_single(t: Tables):
-    return grouping.pivot_unique(_cells(t), "o_orderpriority", "o_orderstatus", _STATUS, ["n"])
+    return grouping.pivot_unique(_cells(t), "o_orderpriority", "o_orderstatus", ["n"])
 
 
 @query(
     "pivot_multi_values",
-    _pivot_sql(
-        "nullif(count(*) FILTER (o_orderstatus = '{s}'), 0) AS \"{s}_n\"",
-        "max(o_totalprice) FILTER (o_orderstatus = '{s}') AS \"{s}_top\"",
-    ),
+    f"""SELECT * FROM (PIVOT (SELECT o_orderpriority, o_orderstatus, n, top FROM ({_CELLS}))
+        ON o_orderstatus USING first(n) AS n, first(top) AS top)""",
 )
 def pivot_multi_values(t: Tables):
-    return grouping.pivot_unique(_cells(t), "o_orderpriority", "o_orderstatus", _STATUS, ["n", "top"])
+    return grouping.pivot_unique(_cells(t), "o_orderpriority", "o_orderstatus", ["n", "top"])
 
 
 @query(
     "pivot_table",
-    _pivot_sql(
-        "round(coalesce(sum(o_totalprice) FILTER (o_orderstatus = '{s}'), 0), 2) AS \"{s}_sum\"",
-        "round(coalesce(avg(o_totalprice) FILTER (o_orderstatus = '{s}'), 0), 4) AS \"{s}_mean\"",
-        "count(*) FILTER (o_orderstatus = '{s}') AS \"{s}_count\"",
-    ),
+    f"""SELECT * FROM (PIVOT (SELECT o_orderpriority, o_orderstatus, n, "sum", mean FROM ({_CELLS}))
+        ON o_orderstatus USING coalesce(first("sum"), 0) AS "sum", coalesce(first(mean), 0) AS mean,
+        coalesce(first(n), 0) AS "count")""",
 )
 def pivot_table(t: Tables):
     price = F.col("o_totalprice")
@@ -249,23 +250,16 @@ def pivot_table(t: Tables):
         t.orders,
         "o_orderpriority",
         "o_orderstatus",
-        _STATUS,
         [F.round(F.sum(price), 2).alias("sum"), F.round(F.avg(price), 4).alias("mean"), F.count(price).alias("count")],
         fill=0,
     )
 
 
-_LANGS = ["de", "en", "es", "fr"]
-
-
 @query(
     "pivot_rate",
     _PASSENGERS
-    + "SELECT pclass, "
-    + ", ".join(f"round(avg(survived) FILTER (sex = '{s}'), 6) AS {s}" for s in _LANGS)
-    + " FROM passengers GROUP BY pclass",
+    + """SELECT * FROM (PIVOT (SELECT pclass, sex, round(avg(survived), 6) AS rate FROM passengers GROUP BY ALL)
+         ON sex USING first(rate))""",
 )
 def pivot_rate(t: Tables):
-    return grouping.pivot_table(
-        shapes.passengers(t), "pclass", "sex", _LANGS, [F.round(F.avg("survived"), 6)]
-    )
+    return grouping.pivot_table(shapes.passengers(t), "pclass", "sex", [F.round(F.avg("survived"), 6)])

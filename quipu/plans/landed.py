@@ -197,14 +197,15 @@ def scan_edges(t: Tables):
 
 @query(
     "literal_table",
-    """SELECT nombre, count(*) AS n FROM events JOIN (VALUES ('click', 'A'), ('view', 'B'), ('purchase', 'C'))
-       AS names(event_type, nombre) USING (event_type) GROUP BY nombre""",
+    """SELECT event_type, nombre, count(*) AS n FROM events LEFT JOIN (VALUES ('click', 'A'), ('view', 'B'), ('purchase', 'C'))
+       AS names(event_type, nombre) USING (event_type) GROUP BY event_type, nombre""",
 )
 def literal_table(t: Tables):
     names = t.spark.createDataFrame(
         [("click", "A"), ("view", "B"), ("purchase", "C")], "event_type string, nombre string"
     )
-    return t.events.join(names, "event_type").groupBy("nombre").agg(F.count(F.lit(1)).alias("n"))
+    counts = t.events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(names, "event_type", "left").select("event_type", "nombre", "n")
 
 
 @query("sink_csv", "SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS total FROM lineitem GROUP BY ALL")

@@ -9,12 +9,12 @@ from quipu.plans.catalog import Tables, query
 
 _STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in text.ENGLISH_STOP_WORDS)
 _WORDS_SQL = f"""WITH counts AS (SELECT word, count(*) AS n FROM
-    (SELECT unnest(string_split_regex(lower(text), '[ \\t\\n\\r\\v\\f]+')) AS word FROM documents WHERE lang = 'en')
+    (SELECT unnest(string_split_regex(lower(text), '[ \\t\\n\\r\\v\\f]+')) AS word FROM documents)
     WHERE word <> '' AND word NOT IN ({_STOP}) GROUP BY word) """
 
 
 def _counts(t: Tables):
-    return text.word_frequency(t.documents, "text", keep=F.col("lang") == "en")
+    return text.word_frequency(t.documents, "text")
 
 
 @query("word_freq", _WORDS_SQL + "SELECT * FROM counts")

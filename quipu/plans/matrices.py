@@ -10,62 +10,38 @@ from quipu.plans.catalog import Tables, query
 _CELLS = """cells AS (SELECT vec_id AS i, CAST(place - 1 AS BIGINT) AS j, CAST(embedding[place] AS DOUBLE) AS v
     FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS place FROM embeddings))"""
 _WITH = f"WITH {_CELLS} "
-_SHAPE = ", shape AS (SELECT max(i) + 1 AS n, max(j) + 1 AS m FROM cells) "
 
 
 def _cells(t: Tables):
     return matrix.cells(t.embeddings, "vec_id", "embedding")
 
 
-def _weights(t: Tables):
-    """A vector of one weight per column."""
-    return _cells(t).groupBy("j").agg(F.round(F.max("v"), 4).alias("v"))
-
-
-_WEIGHTS = ", weights AS (SELECT j, round(max(v), 4) AS v FROM cells GROUP BY j) "
-
-
-@query("gen_fill", _WITH + "SELECT i, j, 1.0::DOUBLE AS v FROM cells")
-def gen_fill(t: Tables):
-    """Ones in the shape of a given matrix."""
-    return matrix.full(t.spark, *matrix.extent(_cells(t)), 1.0)
-
+def _filled(t: Tables):
+    """The matrix without its negative cells, which are then filled by zeros."""
+    present = _cells(t).filter("v >= 0")
+    return matrix.filled(present, t.embeddings.agg(F.max("vec_id")).first()[0] + 1, 64)
 
-@query("gen_range", _WITH + _SHAPE + "SELECT range AS i, range * 3 + 5 AS v FROM shape, range(shape.n)")
-def gen_range(t: Tables):
-    n, _ = matrix.extent(_cells(t))
-    return matrix.arange(t.spark, 5, 5 + 3 * n, 3)
 
-
-@query(
-    "gen_linspace",
-    _WITH + _SHAPE + "SELECT range AS i, round(range * (10.0::DOUBLE / (n - 1)), 9) AS v FROM shape, range(shape.n)",
-)
-def gen_linspace(t: Tables):
-    n, _ = matrix.extent(_cells(t))
-    return matrix.linspace(t.spark, 0.0, 10.0, n).withColumn("v", F.round("v", 9))
+_FILLED = _WITH.replace("cells AS", "all_cells AS") + ", cells AS (SELECT i, j, CASE WHEN v >= 0 THEN v ELSE 0.0 END AS v FROM all_cells) "
 
 
-@query("gen_eye", "SELECT vec_id AS i, vec_id AS j, 1.0::DOUBLE AS v FROM embeddings")
-def gen_eye(t: Tables):
-    n, _ = matrix.extent(_cells(t))
-    return matrix.eye(t.spark, n)
+def _weights(t: Tables):
+    """A vector of one weight per column."""
+    return _cells(t).groupBy("j").agg(F.round(F.max("v"), 4).alias("v"))
 
 
-@query("gen_random")
-def gen_random(t: Tables):
-    return matrix.random_normal(t.spark, *matrix.extent(_cells(t)), seed=42)
+_WEIGHTS = ", weights AS (SELECT j, round(max(v), 4) AS v FROM cells GROUP BY j) "
 
 
 @query(
     "mat_elementwise",
     _WITH + _WEIGHTS
-    + """SELECT i, j, round(c.v + (c.v * w.v), 12) + 0.0 AS added, round(c.v * (c.v * w.v), 12) + 0.0 AS multiplied,
-         c.v > c.v * w.v AS larger FROM cells c JOIN weights w USING (j)""",
+    + """, b AS (SELECT i, j, c.v, CASE WHEN c.v >= 0 THEN c.v * w.v ELSE 0.0 END AS w FROM cells c JOIN weights w USING (j))
+         SELECT i, j, round(v + w, 12) + 0.0 AS added, round(v * w, 12) + 0.0 AS multiplied, v > w AS larger FROM b""",
 )
 def mat_elementwise(t: Tables):
     a = _cells(t)
-    b = matrix.with_vector(a, _weights(t), lambda v, w: v * w)
+    b = matrix.with_vector(a.filter("v >= 0"), _weights(t), lambda v, w: v * w)  # absent cells count as zero
     both = matrix.elementwise(a, b, lambda v, w: F.struct(v.alias("v"), w.alias("w")))
     v, w = F.col("v.v"), F.col("v.w")
     return both.select(
@@ -82,9 +58,9 @@ def mat_scalar(t: Tables):
     return _cells(t).select("i", "j", (v * 5).alias("times_five"), F.sqrt(F.abs(v)).alias("root"))
 
 
-@query("mat_broadcast", _WITH + _WEIGHTS + "SELECT i, j, c.v + w.v AS v FROM cells c JOIN weights w USING (j)")
+@query("mat_broadcast", _FILLED + _WEIGHTS + "SELECT i, j, c.v + w.v AS v FROM cells c JOIN weights w USING (j)")
 def mat_broadcast(t: Tables):
-    return matrix.with_vector(_cells(t), _weights(t), lambda v, w: v + w)
+    return matrix.with_vector(_filled(t), _weights(t), lambda v, w: v + w)
 
 
 @query("mat_slice", _WITH + "SELECT i - 10 AS i, j - 1 AS j, v FROM cells WHERE i >= 10 AND j >= 1 AND j < 33")
@@ -94,10 +70,10 @@ def mat_slice(t: Tables):
 
 @query(
     "mat_assign_slice",
-    _WITH + "SELECT i, j, CASE WHEN i >= 5 AND i < 8 THEN 0 WHEN i >= 20 AND i < 30 THEN v * 2 ELSE v END AS v FROM cells",
+    _FILLED + "SELECT i, j, CASE WHEN i >= 5 AND i < 8 THEN 0 WHEN i >= 20 AND i < 30 THEN v * 2 ELSE v END AS v FROM cells",
 )
 def mat_assign_slice(t: Tables):
-    a = _cells(t)
+    a = _filled(t)
     zeroed = matrix.assign_rows(a, 5, 8, 0.0)
     return matrix.assign_rows(zeroed, 20, 30, a.withColumn("v", F.col("v") * 2))
 
@@ -114,10 +90,10 @@ def mat_transpose(t: Tables):
 
 @query(
     "mat_reduce",
-    _WITH + "SELECT round(avg(v), 9) + 0.0 AS mean, round(sum(v), 6) + 0.0 AS total, min(v) AS low, max(v) AS high FROM cells",
+    _FILLED + "SELECT round(avg(v), 9) + 0.0 AS mean, round(sum(v), 6) + 0.0 AS total, min(v) AS low, max(v) AS high FROM cells",
 )
 def mat_reduce(t: Tables):
-    return _cells(t).agg(
+    return _filled(t).agg(
         (F.round(F.avg("v"), 9) + F.lit(0.0)).alias("mean"),
         (F.round(F.sum("v"), 6) + F.lit(0.0)).alias("total"),
         F.min("v").alias("low"),
@@ -125,24 +101,24 @@ def mat_reduce(t: Tables):
     )
 
 
-@query("mat_row_mean", _WITH + "SELECT i, round(avg(v), 9) + 0.0 AS v FROM cells GROUP BY i")
+@query("mat_row_mean", _FILLED + "SELECT i, round(avg(v), 9) + 0.0 AS v FROM cells GROUP BY i")
 def mat_row_mean(t: Tables):
-    return _cells(t).groupBy("i").agg((F.round(F.avg("v"), 9) + F.lit(0.0)).alias("v"))
+    return _filled(t).groupBy("i").agg((F.round(F.avg("v"), 9) + F.lit(0.0)).alias("v"))
 
 
-@query("mat_col_mean", _WITH + "SELECT j, round(avg(v), 9) + 0.0 AS v FROM cells GROUP BY j")
+@query("mat_col_mean", _FILLED + "SELECT j, round(avg(v), 9) + 0.0 AS v FROM cells GROUP BY j")
 def mat_col_mean(t: Tables):
-    return _cells(t).groupBy("j").agg((F.round(F.avg("v"), 9) + F.lit(0.0)).alias("v"))
+    return _filled(t).groupBy("j").agg((F.round(F.avg("v"), 9) + F.lit(0.0)).alias("v"))
 
 
-@query("mat_sort_axis", _WITH + "SELECT i, row_number() OVER (PARTITION BY i ORDER BY v) - 1 AS j, v FROM cells")
+@query("mat_sort_axis", _FILLED + "SELECT i, row_number() OVER (PARTITION BY i ORDER BY v) - 1 AS j, v FROM cells")
 def mat_sort_axis(t: Tables):
-    return matrix.sort_axis(_cells(t), 1)
+    return matrix.sort_axis(_filled(t), 1)
 
 
-@query("mat_sort_columns", _WITH + "SELECT row_number() OVER (PARTITION BY j ORDER BY v) - 1 AS i, j, v FROM cells")
+@query("mat_sort_columns", _FILLED + "SELECT row_number() OVER (PARTITION BY j ORDER BY v) - 1 AS i, j, v FROM cells")
 def mat_sort_columns(t: Tables):
-    return matrix.sort_axis(_cells(t), 0)
+    return matrix.sort_axis(_filled(t), 0)
 
 
 @query(
@@ -170,14 +146,14 @@ def mat_diag(t: Tables):
 
 @query(
     "gray_mean",
-    _WITH
+    _FILLED
     + """SELECT i AS img, j // 12 AS y, (j % 12) // 3 AS x, round(avg(v), 9) + 0.0 AS v
          FROM cells GROUP BY ALL""",
 )
 def gray_mean(t: Tables):
     """Vectors seen as images four pixels wide with three channels."""
     j = F.col("j")
-    pixels = _cells(t).select(
+    pixels = _filled(t).select(
         F.col("i").alias("img"),
         F.floor(j / 12).alias("y"),
         F.floor((j % 12) / 3).alias("x"),

@@ -191,22 +191,22 @@ def tail(t: Tables):
 @query(
     "row_slice",
     """SELECT o_orderkey, o_totalprice FROM
-       (SELECT *, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS place FROM orders)
-       WHERE place >= 1000 AND place < 120000""",
+       (SELECT *, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS place, count(*) OVER () AS n FROM orders)
+       WHERE place >= 100 AND place < n - 200""",
 )
 def row_slice(t: Tables):
     return ordering.row_slice(
-        t.orders.select("o_orderkey", "o_totalprice"), 1000, 120_000, F.col("o_totalprice"), F.col("o_orderkey")
+        t.orders.select("o_orderkey", "o_totalprice"), 100, -200, F.col("o_totalprice"), F.col("o_orderkey")
     )
 
 
 @query(
     "row_slice_short",
-    "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 40 OFFSET 20",
+    "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 41 OFFSET 20",
 )
 def row_slice_short(t: Tables):
     return ordering.row_slice(
-        t.orders.select("o_orderkey", "o_totalprice"), 20, 60, F.col("o_totalprice"), F.col("o_orderkey")
+        t.orders.select("o_orderkey", "o_totalprice"), 20, 60, F.col("o_totalprice"), F.col("o_orderkey"), inclusive=True
     )
 
 

@@ -133,23 +133,27 @@ def word_lengths(t: Tables):
 
 
 def _operands(t: Tables):
-    """An odd number and a divisor of either sign, never zero."""
+    """An odd number, a number that no double holds, and a divisor of either sign or zero."""
     sign = F.when(F.col("l_returnflag") == "R", -1).otherwise(1)
     return t.lineitem.select(
         "l_orderkey",
         (F.col("l_linenumber") * 2 - 7).cast("bigint").alias("a"),
-        ((F.col("l_suppkey") % 3 + 1) * sign).alias("b"),
+        (F.col("l_orderkey") * 2 + F.lit(2**53 + 1)).alias("big"),
+        (F.col("l_suppkey") % 4 * sign).alias("b"),
     )
 
 
 _OPERANDS = """operands AS (SELECT l_orderkey, CAST(l_linenumber * 2 - 7 AS BIGINT) AS a,
-    (l_suppkey % 3 + 1) * (CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END) AS b FROM lineitem)"""
+    CAST(l_orderkey * 2 + 9007199254740993 AS BIGINT) AS big,
+    nullif(l_suppkey % 4 * (CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END), 0) AS d,
+    l_suppkey % 4 * (CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END) AS b FROM lineitem)"""
 
 
 @query(
     "math_ops",
     f"""WITH {_OPERANDS} SELECT l_orderkey, a, b, a + b AS added, a - b AS subtracted, a * b AS multiplied,
-        a / b AS divided, CAST(floor(a / b) AS BIGINT) AS floored, a - CAST(floor(a / b) AS BIGINT) * b AS rest,
+        a / d AS divided, CAST(floor(a / d) AS BIGINT) AS floored, a - CAST(floor(a / d) AS BIGINT) * d AS rest,
+        big // d - CASE WHEN big % d <> 0 AND d < 0 THEN 1 ELSE 0 END AS big_floored,
         round(pow(a, b), 9) AS raised, a + b * 0.5::DOUBLE AS mixed FROM operands""",
 )
 def math_ops(t: Tables):
@@ -162,6 +166,7 @@ def math_ops(t: Tables):
         F.try_divide(a, b).alias("divided"),
         numbers.floor_div(a, b).alias("floored"),
         numbers.floor_mod(a, b).alias("rest"),
+        numbers.floor_div(F.col("big"), b).alias("big_floored"),
         F.round(F.pow(a, b), 9).alias("raised"),
         (a + b * 0.5).alias("mixed"),
     )
@@ -179,24 +184,36 @@ _UFUNC_SQL = {
 }
 
 
+# At and below the edge of their range, as text.
+_EDGES = {
+    "log": (0, "ln(x)", numbers.log_ieee), "log10": (0, "log10(x)", numbers.log10_ieee),
+    "log2": (0, "log2(x)", numbers.log2_ieee), "log1p": (-1, "ln(1 + x)", numbers.log1p_ieee),
+}
+
+
 @query(
     "math_ufuncs",
     "SELECT l_orderkey, x, "
     + ", ".join(f"round({sql}, 9) + 0.0 AS f_{name}" for name, sql in _UFUNC_SQL.items())
+    + "".join(
+        f", CASE WHEN x > {edge} THEN CAST(round({sql}, 6) + 0.0 AS VARCHAR) WHEN x = {edge} THEN '-inf' ELSE 'nan' END AS e_{name}"
+        for name, (edge, sql, _) in _EDGES.items()
+    )
     + " FROM (SELECT l_orderkey, l_tax * 20 - l_discount * 10 AS x FROM lineitem)",
 )
 def math_ufuncs(t: Tables):
     numbers_in = t.lineitem.select("l_orderkey", (F.col("l_tax") * 20 - F.col("l_discount") * 10).alias("x"))
     x = F.col("x")
     return numbers_in.select(
-        "l_orderkey", "x", *[(F.round(f(x), 9) + F.lit(0.0)).alias(f"f_{name}") for name, f in _UFUNCS.items()]
+        "l_orderkey", "x", *[(F.round(f(x), 9) + F.lit(0.0)).alias(f"f_{name}") for name, f in _UFUNCS.items()],
+        *[numbers.to_text(F.round(f(x), 6) + F.lit(0.0)).alias(f"e_{name}") for name, (_, _, f) in _EDGES.items()],
     )
 
 
 @query(
     "math_binary",
     """SELECT l_orderkey, x + y AS added, x - y AS subtracted, x * y AS multiplied, x / y AS divided,
-       CAST(floor(x / y) AS BIGINT) AS floored, x - floor(x / y) * y AS rest, round(pow(x, y), 4) AS raised,
+       floor(x / y) AS floored, x - floor(x / y) * y AS rest, round(pow(x, y), 4) AS raised,
        greatest(x, y) AS maximum, least(x, y) AS minimum
        FROM (SELECT l_orderkey, l_quantity AS x, CAST(l_linenumber AS DOUBLE) AS y FROM lineitem)""",
 )
@@ -211,7 +228,7 @@ def math_binary(t: Tables):
         (x - y).alias("subtracted"),
         (x * y).alias("multiplied"),
         (x / y).alias("divided"),
-        numbers.floor_div(x, y).alias("floored"),
+        numbers.floor_div_real(x, y).alias("floored"),
         numbers.floor_mod(x, y).alias("rest"),
         F.round(F.pow(x, y), 4).alias("raised"),
         numbers.maximum(x, y).alias("maximum"),
@@ -233,7 +250,18 @@ _size("area_circle", lambda r: F.round(numbers.circle_area(r), 6), "round(pi() *
 _size("area_rect", lambda b: b * F.col("p_retailprice"), "p_size * p_retailprice")
 _size("square", lambda n: F.pow(n, F.lit(2)).cast("bigint"), "CAST(p_size * p_size AS BIGINT)")
 _size("is_even", lambda n: n % 2 == 0, "p_size % 2 = 0")
-_size("factorial", F.factorial, "CASE WHEN p_size <= 20 THEN CAST(factorial(p_size) AS BIGINT) END")
+
+
+@query(
+    "factorial",
+    """WITH RECURSIVE f(n, high, low) AS (SELECT 0, 0::HUGEINT, 1::HUGEINT UNION ALL
+        SELECT n + 1, high * (n + 1) + low * (n + 1) // e30, low * (n + 1) % e30
+        FROM f, (SELECT CAST('1000000000000000000000000000000' AS HUGEINT) AS e30) WHERE n < 50)
+       SELECT p_partkey, p_size, CASE WHEN high = 0 THEN CAST(low AS VARCHAR)
+        ELSE CAST(high AS VARCHAR) || lpad(CAST(low AS VARCHAR), 30, '0') END AS result FROM part JOIN f ON n = p_size""",
+)
+def factorial(t: Tables):
+    return t.part.select("p_partkey", "p_size", numbers.factorial_text(F.col("p_size")).alias("result"))
 
 
 @query(
@@ -315,12 +343,22 @@ def cast_float(t: Tables):
 @query(
     "cast_str",
     """SELECT l_orderkey, CAST(l_linenumber AS VARCHAR) AS whole, CAST(l_extendedprice AS VARCHAR) AS price,
-       CAST(l_extendedprice * 1000 AS VARCHAR) AS large, CAST(l_quantity AS VARCHAR) AS quantity FROM lineitem""",
+       CAST(l_extendedprice * 1000 AS VARCHAR) AS large, CAST(l_quantity AS VARCHAR) AS quantity,
+       CASE WHEN l_discount = 0 THEN '0.0' ELSE CAST(l_linenumber AS VARCHAR) || 'e-' || lpad(CAST(l_linenumber + 4 AS VARCHAR), 2, '0') END AS tiny,
+       CAST(l_linenumber AS VARCHAR) || '.5e+' || (l_linenumber + 15) AS huge,
+       CASE l_linenumber % 3 WHEN 0 THEN 'nan' WHEN 1 THEN 'inf' ELSE '-inf' END AS edge
+       FROM lineitem""",
 )
 def cast_str(t: Tables):
+    n = F.col("l_linenumber")
+    special = {0: "NaN", 1: "Infinity", 2: "-Infinity"}
+    edge = F.element_at(F.create_map(*[F.lit(x) for pair in special.items() for x in pair]), n % 3)
     return t.lineitem.select(
         "l_orderkey",
-        F.col("l_linenumber").cast("string").alias("whole"),
+        numbers.to_text(F.when(F.col("l_discount") == 0, 0.0).otherwise(F.concat(n, F.lit("E-"), n + 4).cast("double"))).alias("tiny"),
+        numbers.to_text(F.concat(n, F.lit(".5E"), n + 15).cast("double")).alias("huge"),
+        numbers.to_text(edge.cast("double")).alias("edge"),
+        n.cast("string").alias("whole"),
         numbers.to_text(F.col("l_extendedprice")).alias("price"),
         numbers.to_text(F.col("l_extendedprice") * 1000).alias("large"),
         numbers.to_text(F.col("l_quantity")).alias("quantity"),

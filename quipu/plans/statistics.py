@@ -119,7 +119,7 @@ def corr_matrix(t: Tables):
 )
 def quantile(t: Tables):
     """Takes the way for long tables, whatever the size."""
-    quartiles = quantiles.quantiles(t.part, ["p_retailprice"], [0.25, 0.75], ["p_type"], in_memory=0)
+    quartiles = quantiles.quantiles(t.part, ["p_retailprice"], [0.25, 0.75], ["p_type"])
     return rounded(quartiles, 6, "q25", "q75")
 
 

@@ -154,7 +154,7 @@ def write_csv(
     df: DataFrame, path: str, sep: str = ";", mode: str = "errorifexists", single_file: bool = False
 ) -> None:
     """Delimited text with a header. ``single_file`` is for short reports only."""
-    out = df.coalesce(1) if single_file else df
+    out = df.repartition(1) if single_file else df  # the report is still computed by many tasks
     _delimited(out, mode, sep).option("header", True).csv(path)
 
 

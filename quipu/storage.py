@@ -2,39 +2,48 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_own_folder: str | None = None
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to a temporary folder: on a cluster it
-    would live on one machine and be lost with it.
-    """
+    """The folder named by ``spark.checkpoint.dir``, which every executor can read."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    global _own_folder
-    if _own_folder is None:
-        _own_folder = tempfile.mkdtemp(prefix="quipu-")
-        atexit.register(shutil.rmtree, _own_folder, ignore_errors=True)
-    return _own_folder
+    return configured.rstrip("/")
+
+
+_owned: list[list[str]] = []  # paths of the open ``stored_tables`` blocks, innermost last
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing else writes to."""
-    return f"{shared_folder(spark)}/quipu/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/quipu/{label}-{uuid.uuid4().hex}"
+    if _owned:
+        _owned[-1].append(path)
+    return path
+
+
+@contextmanager
+def stored_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end of the block, the tables that operators stored inside it.
+
+    Results must be written or collected inside the block, as they read those tables.
+    Without a block the tables stay until the shared folder is cleaned.
+    """
+    _owned.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _owned.pop():
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -50,7 +50,7 @@ def test_text(texts, ours, python):
     assert run(texts, ours(F.col("s"))) == [python(t) for t in TEXTS]
 
 
-PAIRS = [(7, 3), (7, -3), (-7, 3), (-7, -3), (6, 3), (-6, 3), (0, 5), (1, 0)]
+PAIRS = [(7, 3), (7, -3), (-7, 3), (-7, -3), (6, 3), (-6, 3), (0, 5), (1, 0), (2**53 + 1, 1), (-(2**62) - 1, 2), (2**62 + 1, -3)]
 
 
 def test_floor_division_and_remainder(spark):
@@ -77,12 +77,36 @@ def test_nan_rules(spark):
     assert (rows[2]["mx"], rows[2]["mn"]) == (3.0, 2.0)
 
 
-def test_log_of_zero_and_below(spark):
-    df = spark.createDataFrame([(0.0,), (-1.0,), (math.e,), (None,)], "x double")
-    zero, below, one, missing = (r[0] for r in df.select(numbers.log_ieee(F.col("x"))).collect())
+@pytest.mark.parametrize(
+    "name, edge, at_one",
+    [("log_ieee", 0.0, math.e), ("log10_ieee", 0.0, 10.0), ("log2_ieee", 0.0, 2.0), ("log1p_ieee", -1.0, math.e - 1)],
+)
+def test_log_at_its_edge_and_below(spark, name, edge, at_one):
+    df = spark.createDataFrame([(edge,), (edge - 1,), (at_one,), (None,)], "x double")
+    zero, below, one, missing = (r[0] for r in df.select(getattr(numbers, name)(F.col("x"))).collect())
     assert zero == -math.inf and math.isnan(below) and one == pytest.approx(1.0) and missing is None
 
 
+def test_floor_division_of_doubles(spark):
+    pairs = [(7.5, 2.0), (-7.5, 2.0), (1e300, 1e-5), (3.0, -0.7), (0.0, 5.0)]
+    df = spark.createDataFrame(pairs, "a double, b double")
+    got = [r[0] for r in df.select(numbers.floor_div_real(F.col("a"), F.col("b"))).collect()]
+    assert got == [math.floor(a / b) if abs(a / b) < 1e16 and a / b == a / b else a / b for a, b in pairs]
+    assert all(isinstance(v, float) for v in got)
+
+
+def test_factorial_of_any_size(spark):
+    df = spark.createDataFrame([(n,) for n in (0, 1, 5, 20, 21, 34, 100, 170, -1, None)], "n int")
+    got = [r[0] for r in df.select(numbers.factorial_text(F.col("n"))).collect()]
+    assert got == [str(math.factorial(n)) for n in (0, 1, 5, 20, 21, 34, 100, 170)] + [None, None]
+
+
+def test_doubles_as_text(spark):
+    values = [1e-5, 1.25e-7, -3e-12, 1e16, 1.25e17, -2e300, math.inf, -math.inf, math.nan, 0.0, -0.0, 2.5e-308, None, 1e-4, 9999999999999998.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert [r[0] for r in df.select(numbers.to_text(F.col("x"))).collect()] == [None if v is None else str(v) for v in values]
+
+
 def test_casts(spark):
     values = [3.9, -3.9, 0.0, 23.0, 12345678.9, 0.1 + 0.2, 1234567890123.5]
     df = spark.createDataFrame([(v,) for v in values], "x double")
@@ -91,7 +115,7 @@ def test_casts(spark):
     assert [r["i"] for r in rows] == [int(v) for v in values]
     assert [r["t"] for r in rows] == [str(v) for v in values]
     assert [r["b"] for r in rows] == [bool(v) for v in values]
-    words = spark.createDataFrame([("42",), (" 7 ",), ("3.9",), ("Hola",)], "s string")
+    words = spark.createDataFrame([("42",), (" 7 ",), ("3.9",), ("word",)], "s string")
     assert [r[0] for r in words.select(numbers.text_to_int(F.col("s"))).collect()] == [42, 7, None, None]
 
 

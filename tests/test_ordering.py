@@ -1,6 +1,8 @@
 """Positions, ranks and quantiles on skewed rows, against plain Python."""
 
+import os
 import random
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -69,17 +71,22 @@ def test_rank_shares_the_best_place(table, rows):
     assert got == {r[0]: first[r[2]] for r in rows}
 
 
-def test_row_slice_long_and_short_agree(table, rows):
-    expected = [r[0] for r in sorted(rows, key=lambda r: (r[2], r[0]))][100:250]
-    order = (F.col("value"), F.col("id"))
-    for limit in (0, 10_000):
-        got = ordering.row_slice(table, 100, 250, *order, in_memory=limit)
-        assert sorted(r["id"] for r in got.collect()) == sorted(expected)
+@pytest.mark.parametrize("start, stop", [(100, 250), (0, -1), (-5, None), (None, 3), (7, 7), (-4, -2), (10**6, None), (5, -(10**6))])
+def test_row_slice_counts_as_python_does(table, rows, start, stop):
+    expected = [r[0] for r in sorted(rows, key=lambda r: (r[2], r[0]))][start:stop]
+    got = ordering.row_slice(table, start, stop, F.col("value"), F.col("id"))
+    assert sorted(r["id"] for r in got.collect()) == sorted(expected)
 
 
-@pytest.mark.parametrize("in_memory", [0, 1_000_000])
-def test_quantiles_per_key(table, rows, in_memory):
-    got = quantiles.quantiles(table, ["value"], [0, 0.1, 0.5, 0.975, 1], ["key"], in_memory=in_memory)
+def test_row_slice_may_keep_its_end(table, rows):
+    expected = [r[0] for r in sorted(rows, key=lambda r: (r[2], r[0]))]
+    for start, stop, ids in ((2, 5, expected[2:6]), (3, 3, expected[3:4]), (-3, -1, expected[-3:])):
+        got = ordering.row_slice(table, start, stop, F.col("value"), F.col("id"), inclusive=True)
+        assert sorted(r["id"] for r in got.collect()) == sorted(ids)
+
+
+def test_quantiles_per_key(table, rows):
+    got = quantiles.quantiles(table, ["value"], [0, 0.1, 0.5, 0.975, 1], ["key"])
     for r in got.collect():
         values = [v for _, k, v in rows if k == r["key"]]
         assert r["n"] == len(values)
@@ -89,14 +96,12 @@ def test_quantiles_per_key(table, rows, in_memory):
 
 def test_quantiles_skip_missing(spark):
     df = spark.createDataFrame([(1.0,), (None,), (float("nan"),), (4.0,)], "v double")
-    for in_memory in (0, 100):
-        row = quantiles.quantiles(df, ["v"], [0.5], in_memory=in_memory).first()
-        assert (row["n"], row["q50"]) == (2, 2.5)
+    row = quantiles.quantiles(df, ["v"], [0.5]).first()
+    assert (row["n"], row["q50"]) == (2, 2.5)
 
 
-@pytest.mark.parametrize("in_memory", [0, 1_000_000])
-def test_box_stats(table, rows, in_memory):
-    for r in quantiles.box_stats(table, "value", ["key"], in_memory=in_memory).collect():
+def test_box_stats(table, rows):
+    for r in quantiles.box_stats(table, "value", ["key"]).collect():
         values = np.array([v for _, k, v in rows if k == r["key"]])
         q1, q2, q3 = np.quantile(values, [0.25, 0.5, 0.75])
         low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
@@ -167,13 +172,42 @@ def test_take_reshape_assign_and_trace(two):
 
 
 def test_generators(spark):
-    assert [r["v"] for r in matrix.arange(spark, 2, 11, 3).orderBy("i").collect()] == [2, 5, 8]
-    assert np.allclose([r["v"] for r in matrix.linspace(spark, 0, 1, 7).orderBy("i").collect()], np.linspace(0, 1, 7))
     assert np.allclose(_dense(matrix.eye(spark, 3), (3, 3)), np.eye(3))
     assert matrix.eye(spark, 3, dense=True).count() == 9
     assert matrix.full(spark, 4, 6, 0.0).count() == 24
 
 
+def test_absent_cells_are_zero(spark, two):
+    a, _, x, _ = two
+    present = x.filter("v > 0")
+    dense = np.where(a > 0, a, 0)
+    whole = matrix.filled(present, *a.shape)
+    assert whole.count() == a.size and np.allclose(_dense(whole, a.shape), dense)
+    assert np.allclose(_dense(matrix.sort_axis(whole, 1), a.shape), np.sort(dense, axis=1))
+    added = matrix.elementwise(matrix.full(spark, 3, 3, 1.0), matrix.eye(spark, 3), lambda v, w: v + w)
+    assert added.count() == 9 and np.allclose(_dense(added, (3, 3)), 1 + np.eye(3))
+    vector = spark.createDataFrame([(0, 2.0)], "j bigint, v double")
+    shifted = matrix.with_vector(matrix.full(spark, 2, 2, 1.0), vector, lambda v, w: v + w)
+    assert np.allclose(_dense(shifted, (2, 2)), [[3, 1], [3, 1]])
+    with pytest.raises(ValueError):
+        matrix.take(x, slice(-2, None))
+
+
+def test_stored_tables_go_with_their_owner(spark):
+    kept = storage.stage(spark.range(3), "kept")
+    with storage.stored_tables(spark):
+        table = storage.stage(spark.range(5), "short")
+        place = table.inputFiles()[0].removeprefix("file:")
+        assert table.count() == 5 and os.path.exists(place)
+    assert not os.path.exists(place) and kept.count() == 3
+
+
+def test_no_folder_means_no_storage():
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(ValueError):
+        storage.shared_folder(bare)
+
+
 def test_broadcast_is_refused_beyond_the_limits(spark):
     few = spark.range(10).withColumn("s", F.repeat(F.lit("x"), F.lit(1000)))
     assert storage.is_short(few)

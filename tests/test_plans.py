@@ -33,9 +33,15 @@ def test_facts_are_summed_before_the_join(spark):
     assert "partial_count" in text[join:]  # below the join in the tree
 
 
-def test_pivot_values_need_no_extra_scan(spark):
-    text = plan(QUERIES["pivot_table"](spark, FOLDER))
-    assert text.count("FileScan") == 1
+def test_summary_reads_the_facts_once(spark):
+    text = plan(QUERIES["sales_summary"](spark, FOLDER))
+    assert text.count("lineitem.parquet") == 1
+
+
+@pytest.mark.parametrize("name", ["set_intersect", "set_difference"])
+def test_repeats_are_folded_below_the_join(spark, name):
+    text = plan(QUERIES[name](spark, FOLDER))
+    assert text[text.index("Join") :].count("HashAggregate") >= 4
 
 
 def test_top_k_is_taken_per_task(spark):

@@ -45,32 +45,49 @@ def test_sales_summary_with_labels(spark, sales):
 
 @pytest.fixture(scope="module")
 def cells(spark):
-    rows = [("Manzana", "Santiago", 100, 5), ("Uva", "Santiago", 150, 3), ("Manzana", "Valpo", 200, 8), ("Palta", "Conce", 350, 4)]
-    return spark.createDataFrame(rows, "producto string, ciudad string, ventas int, clientes int")
+    rows = [("kayak", "lago", 11, 2), ("remo", "lago", 7, 9), ("kayak", "mar", 4, 1), ("vela", "mar", 25, 3), ("vela", None, 6, 5)]
+    return spark.createDataFrame(rows, "item string, place string, sold int, buyers int")
 
 
-CITIES = ["Conce", "Santiago", "Valpo"]
-
-
-def test_pivot_unique(cells):
-    one = grouping.pivot_unique(cells, "producto", "ciudad", CITIES, ["ventas"])
-    assert sorted(map(tuple, one.collect())) == [
-        ("Manzana", None, 100, 200), ("Palta", 350, None, None), ("Uva", None, 150, None),
-    ]
-    two = grouping.pivot_unique(cells, "producto", "ciudad", CITIES, ["ventas", "clientes"])
-    assert two.columns[1:3] == ["Conce_ventas", "Conce_clientes"]
+def test_pivot_unique_finds_its_columns(cells):
+    one = grouping.pivot_unique(cells, "item", "place", ["sold"])
+    assert one.columns == ["item", "lago", "mar", "null"]
+    assert sorted(map(tuple, one.collect())) == [("kayak", 11, 4, None), ("remo", 7, None, None), ("vela", None, 25, 6)]
+    two = grouping.pivot_unique(cells, "item", "place", ["sold", "buyers"])
+    assert two.columns[1:3] == ["lago_sold", "lago_buyers"]
 
 
 def test_pivot_unique_refuses_repeated_cells(cells):
-    doubled = cells.unionByName(cells.filter("ciudad = 'Valpo'"))
+    doubled = cells.unionByName(cells.filter("place = 'mar'"))
     with pytest.raises(Exception, match="two rows for one cell"):
-        grouping.pivot_unique(doubled, "producto", "ciudad", CITIES, ["ventas"]).collect()
+        grouping.pivot_unique(doubled, "item", "place", ["sold"]).collect()
+
+
+def test_pivot_refuses_what_is_not_listed(cells):
+    for values in (["lago"], ["lago", "mar"]):
+        with pytest.raises(Exception, match="is not listed"):
+            grouping.pivot_table(cells, "item", "place", [F.sum("sold")], values).collect()
+    with pytest.raises(ValueError, match="more than 2"):
+        grouping.pivot_unique(cells, "item", "place", ["sold"], most=2)
+    known = grouping.pivot_table(cells.filter("place IS NOT NULL"), "item", "place", [F.sum("sold")], ["mar", "lago"])
+    assert known.columns == ["item", "mar", "lago"] and known.count() == 3
 
 
 def test_pivot_table_sums_and_fills(cells):
-    doubled = cells.unionByName(cells)
-    got = grouping.pivot_table(doubled, "producto", "ciudad", CITIES, [F.sum("ventas")], fill=0)
-    assert sorted(map(tuple, got.collect())) == [("Manzana", 0, 200, 400), ("Palta", 700, 0, 0), ("Uva", 0, 300, 0)]
+    got = grouping.pivot_table(cells.unionByName(cells), "item", "place", [F.sum("sold")], fill=0)
+    assert sorted(map(tuple, got.collect())) == [("kayak", 22, 8, 0), ("remo", 14, 0, 0), ("vela", 0, 50, 12)]
+
+
+def test_counts_in_order_of_the_value(spark):
+    df = spark.createDataFrame([(v,) for v in (8, 3, 3, 5, None, 8, 3)], "v int")
+    assert [tuple(r) for r in grouping.value_counts(df, "v", by_value=True).collect()] == [(3, 3), (5, 1), (8, 2)]
+
+
+def test_sets_fold_repeats_and_match_missing(spark):
+    a = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
+    b = spark.createDataFrame([(1,), (None,), (None,), (4,)], "j int")
+    assert sorted(map(str, (r[0] for r in combining.intersection(a, b).collect()))) == ["1", "None"]
+    assert [r[0] for r in combining.difference(a, b).collect()] == [2]
 
 
 def test_value_counts_leave_out_missing(spark):
@@ -79,11 +96,13 @@ def test_value_counts_leave_out_missing(spark):
 
 
 def test_merge_matches_missing_keys(spark):
-    left = spark.createDataFrame([(1, "Ana"), (2, "Juan"), (None, "Nadie")], "id int, nombre string")
-    right = spark.createDataFrame([(2, "Valpo"), (None, "Ninguna"), (4, "Santi")], "id int, ciudad string")
+    left = spark.createDataFrame([(1, "p"), (2, "q"), (None, "r")], "id int, left_text string")
+    right = spark.createDataFrame([(2, "x"), (None, "y"), (4, "z")], "id int, right_text string")
     inner = combining.merge(left, right, ["id"]).collect()
-    assert sorted(map(str, map(tuple, inner))) == ["(2, 'Juan', 'Valpo')", "(None, 'Nadie', 'Ninguna')"]
+    assert sorted(map(str, map(tuple, inner))) == ["(2, 'q', 'x')", "(None, 'r', 'y')"]
     assert combining.merge(left, right, ["id"], "left").count() == 3
+    with pytest.raises(ValueError):
+        combining.merge(left, right, ["id"], "right")
 
 
 def test_membership_keeps_rows_once(spark):
@@ -94,41 +113,41 @@ def test_membership_keeps_rows_once(spark):
 
 
 def test_most_keeps_ties(spark):
-    df = spark.createDataFrame([("El Bosque", 18.0), ("San Antonio", 18.0), ("Arica", 3.0)], "c string, v double")
-    assert sorted(r["c"] for r in combining.most(df, "v").collect()) == ["El Bosque", "San Antonio"]
+    df = spark.createDataFrame([("north", 7.5), ("south", 7.5), ("east", 1.0)], "c string, v double")
+    assert sorted(r["c"] for r in combining.most(df, "v").collect()) == ["north", "south"]
 
 
 @pytest.fixture(scope="module")
 def gaps(spark):
-    return spark.createDataFrame([("Ana", 23.0, 100.0), ("Juan", 35.0, NAN), ("Pedro", None, 300.0)], "n string, edad double, sueldo double")
+    return spark.createDataFrame([("ax", 12.0, 40.0), ("by", 20.0, NAN), ("cz", None, 90.0)], "n string, age double, pay double")
 
 
 def test_fill(gaps):
-    got = missing.fill_with(gaps, {"edad": "mean", "sueldo": "max"}).orderBy("n").collect()
-    assert [tuple(r) for r in got] == [("Ana", 23.0, 100.0), ("Juan", 35.0, 300.0), ("Pedro", 29.0, 300.0)]
+    got = missing.fill_with(gaps, {"age": "mean", "pay": "max"}).orderBy("n").collect()
+    assert [tuple(r) for r in got] == [("ax", 12.0, 40.0), ("by", 20.0, 90.0), ("cz", 16.0, 90.0)]
     means = missing.fill_mean(gaps).orderBy("n").collect()
-    assert [r["sueldo"] for r in means] == [100.0, 200.0, 300.0]
+    assert [r["pay"] for r in means] == [40.0, 65.0, 90.0]
 
 
 def test_masks_and_counts(gaps):
     assert [tuple(r) for r in missing.missing_mask(gaps, ["n"]).orderBy("n").collect()] == [
-        ("Ana", False, False), ("Juan", False, True), ("Pedro", True, False),
+        ("ax", False, False), ("by", False, True), ("cz", True, False),
     ]
-    assert {r["column_name"]: r["missing"] for r in profile.null_counts(gaps).collect()} == {"n": 0, "edad": 1, "sueldo": 1}
-    assert {r["column_name"]: r["n_distinct"] for r in profile.nunique(gaps).collect()} == {"n": 3, "edad": 2, "sueldo": 2}
+    assert {r["column_name"]: r["missing"] for r in profile.null_counts(gaps).collect()} == {"n": 0, "age": 1, "pay": 1}
+    assert {r["column_name"]: r["n_distinct"] for r in profile.nunique(gaps).collect()} == {"n": 3, "age": 2, "pay": 2}
 
 
 def test_describe(gaps):
-    row = {r["column_name"]: r for r in profile.describe(gaps).collect()}["sueldo"]
-    assert (row["count"], row["mean"], row["min"], row["max"], row["q25"], row["q50"], row["q75"]) == (2, 200.0, 100.0, 300.0, 150.0, 200.0, 250.0)
-    assert row["std"] == pytest.approx(math.sqrt(20000))
+    row = {r["column_name"]: r for r in profile.describe(gaps).collect()}["pay"]
+    assert (row["count"], row["mean"], row["min"], row["max"], row["q25"], row["q50"], row["q75"]) == (2, 65.0, 40.0, 90.0, 52.5, 65.0, 77.5)
+    assert row["std"] == pytest.approx(math.sqrt(1250))
 
 
 def test_duplicates(spark):
     df = spark.createDataFrame([(1, NAN), (1, NAN), (1, None), (1, None), (1, None), (2, 1.0)], "a int, b double")
     assert missing.duplicate_count(df).first()[0] == 3
-    values = spark.createDataFrame(list(enumerate([1, 5, 23, 5, 43, 8, 10, 1])), "pos int, v int")
-    assert tuple(missing.first_duplicate(values, "v", "pos").first()) == (1, 2, 0)
+    values = spark.createDataFrame(list(enumerate([6, 2, 90, 2, 31, 14, 6])), "pos int, v int")
+    assert tuple(missing.first_duplicate(values, "v", "pos").first()) == (6, 2, 0)
     assert missing.first_duplicate(values.filter("pos < 3"), "v", "pos").count() == 0
 
 

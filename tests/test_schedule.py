@@ -1,88 +1,63 @@
-"""Crontab expansion against a line-by-line reading in plain Python."""
+"""Crontab expansion: rows worked out by hand, and long tables by what their lines were made of."""
 
 import random
 
 from quipu.operators import graph, schedule
 
-CRON = """
-
-#SISTEMAS
-00 00,01,03-05 * * * /a/external.sh
-30 * * * * /a/taller.sh  --full   >> log 2>&1
-#MODELOS
-#FINANZAS
-45 07 * * MON  /b/oc.sh
-   # 05 08 * * * /b/off.sh
-15 00,* * * * /b/gps.sh
-broken line
-10 9-7 1 * * /b/never.sh
-"""
-
-
-def plainly(lines, commented_jobs_are_sections=True):
-    out, section = [], None
-    for n, raw in lines:
-        line = raw.strip()
-        if line.startswith("#"):
-            name = line.replace("#", "").strip()
-            if commented_jobs_are_sections or not name[:1].isdigit():
-                section = name
-            continue
-        parts = line.split()
-        if len(parts) < 6:
-            continue
-        for piece in parts[1].split(","):
-            if "-" in piece:
-                low, high = map(int, piece.split("-"))
-                hours = range(low, high + 1)
-            else:
-                hours = range(24) if piece == "*" else [int(piece)]
-            out += [(n, section, parts[0], str(h).zfill(2), *parts[2:5], " ".join(parts[5:])) for h in hours]
-    return sorted(out, key=str)
+FIELDS = ["line_no", "seccion", "minuto", "hora", "dia", "mes", "dia_semana", "comando"]
+
+
+def table(spark, lines, source="main"):
+    return spark.createDataFrame([(source, n, t) for n, t in lines], "source string, line_no bigint, line string")
 
 
 def rows(df):
-    fields = ["line_no", "seccion", "minuto", "hora", "dia", "mes", "dia_semana", "comando"]
-    return sorted((tuple(r[f] for f in fields) for r in df.collect()), key=str)
+    return sorted((tuple(r[f] for f in FIELDS) for r in df.collect()), key=str)
 
 
-def table(spark, lines, source="main"):
-    return spark.createDataFrame([(source, n, t) for n, t in lines], "source string, line_no bigint, line string")
+def test_one_job(spark):
+    got = rows(schedule.expand_crontab(table(spark, [(1, "## night  "), (2, " 5 2,9-10 1 * 7 wash   --all ")])))
+    assert got == [(2, "night", "5", h, "1", "*", "7", "wash --all") for h in ("02", "09", "10")]
 
 
-def test_sections_hours_and_padding(spark):
-    lines = list(enumerate(CRON.split("\n")))
+def test_every_hour_repeats_and_empty_ranges(spark):
+    lines = [(1, "0 * * * * tick"), (2, "0 4,4 * * * twice"), (3, "0 8-6 * * * none"), (4, "0 4 * * short"), (5, "")]
     got = rows(schedule.expand_crontab(table(spark, lines)))
-    assert got == plainly(lines)
-    assert len([r for r in got if "gps" in r[-1]]) == 25
-    assert {r[1] for r in got if "gps" in r[-1]} == {"05 08 * * * /b/off.sh"}
+    assert [r[3] for r in got if r[-1] == "tick"] == [f"{h:02}" for h in range(24)]
+    assert [r[3] for r in got if r[-1] == "twice"] == ["04", "04"]
+    assert len(got) == 26 and {r[1] for r in got} == {None}
 
 
-def test_commented_jobs_can_be_skipped(spark):
-    lines = list(enumerate(CRON.split("\n")))
-    got = rows(schedule.expand_crontab(table(spark, lines), commented_jobs_are_sections=False))
-    assert got == plainly(lines, commented_jobs_are_sections=False)
-    assert {r[1] for r in got if "gps" in r[-1]} == {"FINANZAS"}
+def test_a_commented_job_is_a_heading_or_is_skipped(spark):
+    lines = table(spark, [(1, "# water"), (2, "#7 3 * * * pump"), (3, "1 3 * * * rinse")])
+    assert [r[1] for r in rows(schedule.expand_crontab(lines))] == ["7 3 * * * pump"]
+    assert [r[1] for r in rows(schedule.expand_crontab(lines, commented_jobs_are_sections=False))] == ["water"]
 
 
-def test_headings_carry_over_blocks(spark, monkeypatch):
-    """Blocks of four lines make long, bare and headed stretches cross many blocks."""
+def test_headings_of_long_tables(spark, monkeypatch):
+    """Each job names the heading that was made before it, and how many hours it was given."""
     monkeypatch.setattr(schedule, "_BLOCK_BITS", 2)
-    rng = random.Random(5)
-    lines = []
-    for n in range(700):
-        headed = rng.random() < (0.02 if 200 < n < 600 else 0.3)
-        lines.append((n * 3, f"# S{n}" if headed else f"{n % 60} {n % 24} * * * job{n}"))
-    assert rows(schedule.expand_crontab(table(spark, lines))) == plainly(lines)
+    rng = random.Random(11)
+    lines, current, expected = [], "None", 0
+    for n in range(900):
+        if rng.random() < (0.01 if 300 < n < 800 else 0.25):
+            current = f"part {n}"
+            lines.append((5 * n, f"# {current}"))
+        else:
+            low, length = rng.randrange(12), rng.randrange(3)
+            expected += length + 1
+            lines.append((5 * n, f"0 {low}-{low + length} * * * job of {current}"))
+    got = rows(schedule.expand_crontab(table(spark, lines)))
+    assert len(got) == expected
+    assert all(r[-1] == f"job of {r[1]}" for r in got)
 
 
 def test_sources_do_not_mix(spark):
-    a = [(0, "#A"), (1, "0 1 * * * x")]
-    b = [(0, "0 1 * * * y")]
-    got = schedule.expand_crontab(table(spark, a, "a").unionByName(table(spark, b, "b"))).collect()
-    assert {(r["source"], r["seccion"]) for r in got} == {("a", "A"), ("b", None)}
+    both = table(spark, [(1, "#first"), (2, "0 1 * * * run")], "a").unionByName(table(spark, [(1, "0 1 * * * run")], "b"))
+    got = schedule.expand_crontab(both).collect()
+    assert {(r["source"], r["seccion"]) for r in got} == {("a", "first"), ("b", None)}
 
 
 def test_most_cited(spark):
-    edges = spark.createDataFrame([(1, 9), (2, 9), (3, 7), (4, 7), (9, 1)], "src bigint, dst bigint")
-    assert [tuple(r) for r in graph.most_cited(edges).collect()] == [(7, 2)]
+    edges = spark.createDataFrame([(5, 30), (6, 30), (7, 20), (8, 20), (30, 5)], "src bigint, dst bigint")
+    assert [tuple(r) for r in graph.most_cited(edges).collect()] == [(20, 2)]

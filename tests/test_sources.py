@@ -75,7 +75,7 @@ def test_edges(spark, tmp_path):
 
 def test_append_and_overwrite(spark, tmp_path):
     path = str(tmp_path / "people")
-    rows = spark.createDataFrame([("Carlos", 40), ("Sofía", 27)], "nombre string, edad int")
+    rows = spark.createDataFrame([("lit é", 3), ("oak", 8)], "tree string, age int")
     files.append_csv(rows, path)
     files.append_csv(rows, path)
     assert files.read_csv(spark, path, rows.schema, header=False).count() == 4
@@ -94,10 +94,10 @@ def test_json_lines_keep_nulls(spark, tmp_path):
 
 
 def test_column_oriented_json(spark):
-    doc = {"Producto": {"0": "Manzana", "1": "Uva", "10": "Palta"}, "Ventas": {"0": 100, "1": None, "10": 300}}
+    doc = {"kind": {"0": "moss", "1": "fern", "10": "reed"}, "count": {"0": 41, "1": None, "10": 7}}
     df = spark.createDataFrame([(json.dumps(doc),)], "doc string")
-    got = documents.columns_to_rows(df, "doc", T.StructType.fromDDL("Producto string, Ventas bigint"))
-    assert [tuple(r) for r in got.orderBy("index").collect()] == [(0, "Manzana", 100), (1, "Uva", None), (10, "Palta", 300)]
+    got = documents.columns_to_rows(df, "doc", T.StructType.fromDDL("kind string, count bigint"))
+    assert [tuple(r) for r in got.orderBy("index").collect()] == [(0, "moss", 41), (1, "fern", None), (10, "reed", 7)]
 
 
 def test_normalize_and_record_path(spark):
@@ -128,15 +128,16 @@ def test_series(spark):
 
 
 def test_invoices(spark, tmp_path):
-    path = put(
-        tmp_path / "f.xml",
-        '<?xml version="1.0"?><facturacion><factura id="0007"><cliente>Alpha</cliente><monto moneda="CLP">500</monto>'
-        "<fecha>2023-10-01</fecha></factura><factura id=\"8\"><cliente>Beta &amp; Co</cliente><monto>75</monto>"
-        "<fecha>2023-10-02</fecha></factura></facturacion>",
-    )
+    # The names of elements and attributes.
+    def invoice(number, name, amount, day):
+        return f'<factura id="{number}"><cliente>{name}</cliente><monto moneda="X">{amount}</monto><fecha>{day}</fecha></factura>'
+
+    rows = [("0031", "Lumen", 12, "2031-02-03"), ("4", "Río & hijos", 9, "2031-02-04")]
+    body = "".join(invoice(n, c.replace("&", "&amp;"), a, d) for n, c, a, d in rows)
+    path = put(tmp_path / "f.xml", f'<?xml version="1.0"?><facturacion>{body}</facturacion>')
     got = documents.read_invoices(spark, path).orderBy("id")
     assert got.dtypes == [("id", "string"), ("cliente", "string"), ("monto", "int"), ("fecha", "string")]
-    assert [tuple(r) for r in got.collect()] == [("0007", "Alpha", 500, "2023-10-01"), ("8", "Beta & Co", 75, "2023-10-02")]
+    assert [tuple(r) for r in got.collect()] == rows
 
 
 def test_jdbc_needs_bounds_to_split(spark):
