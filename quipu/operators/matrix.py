@@ -8,7 +8,7 @@ absent cell as zero by themselves.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -114,51 +114,39 @@ def sort_axis(a: DataFrame, axis: int = 1) -> DataFrame:
     return placed.select(F.col(fixed), F.col("_place").alias(moved), "v").select("i", "j", "v")
 
 
+def _blocks(a: DataFrame, block: int, names: tuple[str, str]) -> DataFrame:
+    """The non-zero cells packed by block: places inside it and values, as two arrays."""
+    row, column = (F.floor(F.col(c) / block) for c in ("i", "j"))
+    place = ((F.col("i") % block) * block + F.col("j") % block).cast("int")
+    cells = a.filter("v <> 0").select(row.alias(names[0]), column.alias(names[1]), F.struct(place.alias("at"), "v").alias("cell"))
+    packed = cells.groupBy(*names).agg(F.collect_list("cell").alias("cells"))  # at most block * block
+    return packed.select(*names, F.col("cells.at").alias(f"{names[0]}_at"), F.col("cells.v").alias(f"{names[0]}_v"))
+
+
 def multiply(a: DataFrame, b: DataFrame, block: int = 256) -> DataFrame:
     """Matrix product by blocks.
 
-    Both sides are cut into square blocks, each block is sent to the products it
-    takes part in, and every product of two blocks is one small NumPy job. No
-    task ever holds more than two blocks, and no pairs of cells are formed.
+    Cells are packed into square blocks before anything is copied, blocks that share
+    their inner side are joined, and each such pair is one small NumPy product. No task
+    holds more than two blocks and their product, and no pairs of cells are formed.
+    Cells of the product that are zero are left out.
     """
-
-    def place(c: str) -> Column:
-        return F.floor(F.col(c) / block)
-
-    def copies(other: DataFrame, c: str) -> Column:
-        last = other.agg(F.max(place(c))).scalar()
-        return F.explode(F.when(last.isNotNull(), F.sequence(F.lit(0).cast("bigint"), last)))
-
-    left = a.select(place("i").alias("bi"), place("j").alias("bk"), "i", "j", "v").select(
-        "*", copies(b, "j").alias("bj")
-    )
-    right = b.select(place("j").alias("bj"), place("i").alias("bk"), "i", "j", "v").select(
-        "*", copies(a, "i").alias("bi")
-    )
-
-    def dense(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        i, r = np.unique(part["i"].to_numpy(), return_inverse=True)
-        c = part["j"].to_numpy()
-        grid = np.zeros((len(i), block))
-        grid[r, c % block] = part["v"].to_numpy()
-        return i, np.unique(c), grid
-
-    def product(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        if x.empty or y.empty:
-            return pd.DataFrame({"i": [], "j": [], "v": []}).astype({"i": "int64", "j": "int64"})
-        rows, _, left_grid = dense(x)
-        inner, columns, right_rows = dense(y)
-        right_grid = np.zeros((block, block))
-        right_grid[inner % block] = right_rows
-        out = (left_grid @ right_grid)[:, columns % block]
-        return pd.DataFrame(
-            {"i": np.repeat(rows, len(columns)), "j": np.tile(columns, len(rows)), "v": out.ravel()}
-        )
-
-    keys = ["bi", "bj", "bk"]
-    parts = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        product, "i bigint, j bigint, v double"
-    )
+    pairs = _blocks(a, block, ("bi", "bk")).join(_blocks(b, block, ("bk2", "bj")), F.col("bk") == F.col("bk2"))
+
+    def grid(at, v) -> np.ndarray:
+        out = np.zeros(block * block)
+        np.add.at(out, np.asarray(at), np.asarray(v))
+        return out.reshape(block, block)
+
+    def product(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for row in part.itertuples(index=False):
+                out = grid(row.bi_at, row.bi_v) @ grid(row.bk2_at, row.bk2_v)
+                r, c = np.nonzero(out)
+                yield pd.DataFrame({"i": row.bi * block + r, "j": row.bj * block + c, "v": out[r, c]})
+
+    columns = ["bi", "bj", "bi_at", "bi_v", "bk2_at", "bk2_v"]
+    parts = pairs.select(*columns).mapInPandas(product, "i bigint, j bigint, v double")
     return parts.groupBy("i", "j").agg(F.sum("v").alias("v"))
 
 

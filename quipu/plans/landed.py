@@ -69,34 +69,43 @@ def scan_text(t: Tables):
 
 @query(
     "text_head",
-    r"""SELECT doc_id, CAST(place - 1 AS INTEGER) AS line_no, trim(lines[place], E' \t\r\n\v\f') AS line FROM
-       (SELECT doc_id, string_split(text, chr(10)) AS lines, unnest(range(1, 4)) AS place FROM documents)
-       WHERE place <= len(lines)""",
+    r"""SELECT batch, line_no, trim(line, E' \t\r\n\v\f') AS line FROM
+       (SELECT *, row_number() OVER (PARTITION BY batch ORDER BY doc_id, place) - 1 AS line_no FROM
+        (SELECT doc_id // 100 AS batch, doc_id, unnest(range(1, len(lines) + 1)) AS place, unnest(lines) AS line FROM
+         (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents)))
+       WHERE line_no < 3""",
 )
 def text_head(t: Tables):
-    return files.head_of_text(t.documents, "text", 3, ["doc_id"])
+    """One text file per hundred documents, in order of their id; then the first lines of every file."""
+    path = fresh_path(t.spark, "heads")
+    texts = t.documents.select(F.expr("doc_id div 100").alias("batch"), "doc_id", "text")
+    texts = texts.repartition("batch").sortWithinPartitions("batch", "doc_id")
+    texts.select("batch", "text").write.partitionBy("batch").text(path)
+    heads = files.text_head(t.spark, path, 3)
+    batch = F.regexp_extract("file", "batch=([^/]+)/", 1).cast("bigint")
+    return heads.select(batch.alias("batch"), F.col("line_no").cast("bigint").alias("line_no"), "line")
 
 
 @query(
     "scan_json_columns",
-    """SELECT c_custkey, CAST(place AS INTEGER) AS "index", CASE place WHEN 0 THEN c_name ELSE c_mktsegment END AS nombre,
+    """SELECT c_custkey AS cliente, CAST(place AS INTEGER) AS "index", CASE place WHEN 0 THEN c_name ELSE c_mktsegment END AS nombre,
        CASE place WHEN 0 THEN CAST(c_nationkey AS BIGINT) ELSE c_custkey END AS clave
        FROM customer, range(2) AS r(place)""",
 )
 def scan_json_columns(t: Tables):
     first, second = F.lit("0"), F.lit("1")
+    path = fresh_path(t.spark, "columns-json")
     texts = t.customer.select(
-        "c_custkey",
         F.to_json(
             F.struct(
+                F.create_map(first, "c_custkey", second, "c_custkey").alias("cliente"),
                 F.create_map(first, "c_name", second, "c_mktsegment").alias("nombre"),
                 F.create_map(first, F.col("c_nationkey").cast("bigint"), second, F.col("c_custkey")).alias("clave"),
             )
         ).alias("doc"),
     )
-    return documents.columns_to_rows(
-        texts, "doc", T.StructType.fromDDL("nombre string, clave bigint"), keep=["c_custkey"]
-    )
+    files.overwrite_text(texts, path)
+    return documents.read_columns(t.spark, path, T.StructType.fromDDL("cliente bigint, nombre string, clave bigint"))
 
 
 def _user_documents(t: Tables):

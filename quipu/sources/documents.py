@@ -48,6 +48,11 @@ def columns_to_rows(
     )
 
 
+def read_columns(spark: SparkSession, path: str, schema: T.StructType, index: str = "index") -> DataFrame:
+    """Rows of column-oriented JSON files, one document per line."""
+    return columns_to_rows(spark.read.text(path), "value", schema, index=index)
+
+
 def normalize(df: DataFrame, sep: str = ".") -> DataFrame:
     """Struct columns flattened to their leaves, named by the path to them."""
 

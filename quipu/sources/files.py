@@ -114,13 +114,6 @@ def text_head(spark: SparkSession, path: str, n: int = 3) -> DataFrame:
     )
 
 
-def head_of_text(df: DataFrame, text: str, n: int, keep: list[str]) -> DataFrame:
-    """First ``n`` lines of every text that a row holds whole."""
-    first = F.slice(F.split(F.col(text), "\n"), F.lit(1), F.lit(n))
-    lines = df.select(*keep, F.posexplode(first).alias("line_no", "line"))
-    return lines.withColumn("line", strip(F.col("line")))
-
-
 def read_edges(spark: SparkSession, path: str) -> DataFrame:
     """Directed edges after one header line: lines of exactly two whole numbers.
 

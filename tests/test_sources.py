@@ -100,6 +100,12 @@ def test_column_oriented_json(spark):
     assert [tuple(r) for r in got.orderBy("index").collect()] == [(0, "moss", 41), (1, "fern", None), (10, "reed", 7)]
 
 
+def test_column_oriented_json_files(spark, tmp_path):
+    put(tmp_path / "c.json", '{"kind": {"0": "moss"}, "count": {"0": 4}}\n{"kind": {"3": null}, "count": {"3": 5}}\n')
+    got = documents.read_columns(spark, str(tmp_path / "c.json"), T.StructType.fromDDL("kind string, count bigint"))
+    assert [tuple(r) for r in got.orderBy("index").collect()] == [(0, "moss", 4), (3, None, 5)]
+
+
 def test_normalize_and_record_path(spark):
     doc = {"info": {"page": 2}, "results": [{"gender": "f", "name": {"first": "Ana", "last": "P"}}, {"gender": "m", "name": {"first": "Juan", "last": "Q"}}]}
     schema = "info struct<page: bigint>, results array<struct<gender: string, name: struct<first: string, last: string>>>"
