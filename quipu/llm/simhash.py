@@ -202,6 +202,19 @@ def components(edges: DataFrame) -> DataFrame:
         labels = stage(hooked.join(roots, hooked["label"] == roots["root"]).select("node", F.col("above").alias("label")), "labels")
 
 
+def _classified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows (doc_id, digest of the text, fp, class label, component_id), one per document."""
+    text = F.col(text_col)
+    marked = stage(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("digest"), fingerprint(text).alias("fp")), "fingerprints")
+    folded = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "folded")
+    labels = components(links(folded.select("fp")))
+    named = folded.join(labels, folded["fp"] == labels["node"], "left")
+    named = named.select("fp", F.coalesce("label", "fp").alias("label"), "first_id")
+    first = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    classes = stage(named.join(first, "label").select(F.col("fp").alias("class_fp"), "label", "component_id"), "classes")
+    return marked.join(classes, marked["fp"] == classes["class_fp"]).drop("class_fp")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its id, fingerprint (bigint ``fp``) and ``component_id``.
 
@@ -211,14 +224,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     it shows as component only where no id is known. No rows give no rows; other
     columns of ``docs``, whatever their names, are not read.
     """
-    marked = stage(docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col)).alias("fp")), "fingerprints")
-    folded = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "folded")
-    labels = components(links(folded.select("fp")))
-    named = folded.join(labels, folded["fp"] == labels["node"], "left")
-    named = named.select("fp", F.coalesce("label", "fp").alias("label"), "first_id")
-    first = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    classes = stage(named.join(first, "label").select(F.col("fp").alias("class_fp"), "component_id"), "classes")
-    return marked.join(classes, marked["fp"] == classes["class_fp"]).select("doc_id", "fp", "component_id")
+    return _classified(docs, id_col, text_col).select("doc_id", "fp", "component_id")
 
 
 def hexadecimal(fp: Column) -> Column:
@@ -228,14 +234,23 @@ def hexadecimal(fp: Column) -> Column:
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Whole rows of ``docs``: of each component the document with the smallest id.
 
-    Rows that repeat that id with the same fingerprint count as the same document,
-    of which one stays. All columns are kept.
+    Rows that repeat that id with the same text count as the same document, of which
+    one stays; so does one of a component without ids. All columns are kept. The texts
+    meet the list of kept documents in one join; only repeated rows are dealt again.
     """
-    found = near_duplicates(docs, id_col, text_col)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.groupBy("component_id").agg(F.min("doc_id").alias("_kept_id"), F.min("fp").alias("_kept_fp"))
-    kept = kept.select("_kept_id", "_kept_fp")
-    marked = docs.withColumn("_fp", fingerprint(F.col(text_col)))
-    same = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_fp") == F.col("_kept_fp"))
-    joined = marked.join(kept, same, "left_semi")
-    return joined.dropDuplicates([id_col, "_fp"]).drop("_fp")
+    found = _classified(docs, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    rows = found.groupBy("label", "doc_id", "digest").agg(F.count("*").alias("n"))
+    first = F.min(F.struct("digest", "n")).alias("first")  # rows of one label here share their id
+    kept = rows.groupBy("label", "doc_id").agg(first).select(F.col("doc_id").alias("_kept_id"), "first.*")
+    kept = stage(kept.withColumnRenamed("digest", "_kept_digest"), "kept")
+    marked = docs.withColumn("_digest", F.xxhash64(F.col(text_col)))
+
+    def among(part: DataFrame) -> DataFrame:
+        same = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_digest") == F.col("_kept_digest"))
+        return marked.join(part.select("_kept_id", "_kept_digest"), same, "left_semi")
+
+    out = among(kept.filter("n = 1"))
+    repeated = kept.filter("n > 1")
+    if not repeated.isEmpty():
+        out = out.unionByName(among(repeated).dropDuplicates([id_col, "_digest"]))
+    return out.drop("_digest")
