@@ -32,8 +32,11 @@ def _shards(leaves: DataFrame, low: int, high: int, limit: int) -> DataFrame:
     prefixes = leaves.select("leaf", "bytes", "n", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("depth"))
     prefixes = prefixes.withColumn("prefix", F.substring("leaf", F.lit(1), F.col("depth")))
     sums = prefixes.groupBy("depth", "prefix").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n"))
-    fits = sums.filter((F.col("bytes") <= limit) | (F.col("n") == 1)).select("depth", "prefix")
-    found = prefixes.select("leaf", "depth", "prefix").join(fits, ["depth", "prefix"]).groupBy("leaf").agg(F.min("depth").alias("depth"))
+    fits = stage(sums.filter((F.col("bytes") <= limit) | (F.col("n") == 1)).select("depth", "prefix"), "fits")
+    # Short prefixes, which many leaves share, seldom fit: they stay out of the join.
+    least = fits.agg(F.min("depth")).first()[0]
+    tried = prefixes.select("leaf", "depth", "prefix").filter(F.col("depth") >= F.lit(high if least is None else least))
+    found = tried.join(fits, ["depth", "prefix"]).groupBy("leaf").agg(F.min("depth").alias("depth"))
     return leaves.join(found, "leaf", "left").select("leaf", "bytes", F.substring("leaf", F.lit(1), F.col("depth")).alias("shard"))
 
 
