@@ -16,6 +16,11 @@ def word_count(text: Column) -> Column:
     return F.length(F.translate(marks, " \t\n\x0b\x0c\r", "")).cast("bigint")
 
 
+def packed(df: DataFrame) -> Column:
+    """All columns of a row in one struct, so that no name of theirs can meet a working column."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
 def earlier_total(df: DataFrame, by: list[str], order: list[Column], weight: str, name: str) -> DataFrame:
     """``df`` with the sum of ``weight`` over the earlier rows of its ``by`` key, in ``order``.
 

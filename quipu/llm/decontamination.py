@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quipu.llm.common import packed
 from quipu.storage import stage
 
 WINDOW = 10
@@ -167,7 +168,8 @@ def contamination(
 
     Words are runs of digits, letters and characters beyond ASCII, A-Z in lower case.
     A word inside any occurrence of a window is hit; spans are runs of hit words in
-    the original text (code points, end exclusive). A null or wordless text has no
+    the original text (code points, end exclusive). A column of ``docs`` named contamination
+    is replaced. A null or wordless text has no
     words; a null or wordless item has no window; an item without an id is listed as
     the empty string; items with one id count once. Every row of ``docs`` comes back
     once, with all its columns. The benchmark's size is measured first: up to
@@ -188,4 +190,5 @@ def contamination(
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no benchmark window occurs, as they are."""
-    return contamination(docs, benchmark, text_col).filter("contamination.n_hit = 0").select(*[f"`{c}`" for c in docs.columns])
+    found = contamination(docs.select(packed(docs), F.col(text_col).alias("text")), benchmark)
+    return found.filter("contamination.n_hit = 0").select("row.*")

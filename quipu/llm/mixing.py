@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quipu.llm.common import earlier_total, word_count
+from quipu.llm.common import earlier_total, packed, word_count
 from quipu.storage import broadcast_if_short, stage
 
 BLOCK_WORDS = 1024
@@ -161,14 +161,16 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     """
     mix = Mix(docs, id_col, text_col, source_col, **options)
     units = stage(mix.taken().filter("taken > 0"), "taken").select(
-        F.col("source").alias("_source"), F.col("doc_id").alias("_id"), F.col("size").alias("_unit"), F.col("taken").alias("_taken")
+        F.col("source").alias("unit_source"), F.col("doc_id").alias("unit_id"), F.col("size").alias("unit_size"), "taken"
     )
-    sized = docs.withColumn("_size", word_count(F.col(text_col)))
-    same = F.col(source_col).eqNullSafe(F.col("_source")) & F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_size") == F.col("_unit"))
-    joined = sized.join(units, same)
-    passes = joined.withColumn("_left", F.expr("explode(transform(sequence(0L, (_taken - 1) div _size), p -> _taken - p * _size))"))
-    text = F.when(F.col("_left") >= F.col("_size"), F.col(text_col)).otherwise(_first_words(F.col(text_col), F.col("_left").cast("int")))
-    out = passes.withColumn(text_col, text)
+    sized = docs.select(
+        packed(docs), F.col(text_col).alias("whole"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
+    )
+    same = F.col("source").eqNullSafe(F.col("unit_source")) & F.col("id").eqNullSafe(F.col("unit_id")) & (F.col("size") == F.col("unit_size"))
+    passes = sized.join(units, same).withColumn("left", F.expr("explode(transform(sequence(0L, (taken - 1) div size), p -> taken - p * size))"))
+    cut = F.when(F.col("left") >= F.col("size"), F.col("whole")).otherwise(_first_words(F.col("whole"), F.col("left").cast("int")))
+    out = passes.select("row", cut.alias("cut")).withColumn("row", F.col("row").withField(f"`{text_col}`", F.col("cut")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
-    return out.select(*[f"`{c}`" for c in docs.columns])
+        length = F.length("cut").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("row", F.col("row").withField("n_chars", length))
+    return out.select("row.*")

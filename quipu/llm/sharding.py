@@ -13,6 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quipu.llm.common import packed
 from quipu.operators.ordering import with_position
 from quipu.storage import broadcast_if_short, stage
 
@@ -73,17 +74,17 @@ def sharded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lim
     size = F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)).cast("bigint")
     rows = stage(plain.select(digest_bits(F.col(id_col), F.col(text_col)).alias("bits"), size.alias("bytes")), "hashes")
     rounds = directory(rows, limit)
-    out = plain.withColumn("_bits", digest_bits(F.col(id_col), F.col(text_col))).withColumn("shard", F.lit(None).cast("string"))
+    bits = digest_bits(F.col(id_col), F.col(text_col))
+    out = plain.select(packed(plain), bits.alias("bits"), size.alias("bytes"), F.lit(None).cast("string").alias("shard"))
     for length, found in rounds:
-        side = broadcast_if_short(found.filter("shard is not null").select(F.col("leaf").alias("_leaf"), F.col("shard").alias("_shard")))
-        out = out.join(side, F.substring("_bits", 1, length) == F.col("_leaf"), "left")
-        out = out.withColumn("shard", F.coalesce("shard", "_shard")).drop("_leaf", "_shard")
-    out = out.withColumn("bytes", size).withColumn("shard", F.concat(F.lit("s"), "shard"))
+        side = broadcast_if_short(found.filter("shard is not null").select("leaf", F.col("shard").alias("found")))
+        out = out.join(side, F.substring("bits", 1, length) == F.col("leaf"), "left")
+        out = out.withColumn("shard", F.coalesce("shard", "found")).drop("leaf", "found")
+    out = out.withColumn("shard", F.concat(F.lit("s"), "shard"))
     length, found = rounds[-1]
     if length == BITS and not found.filter("shard is null").isEmpty():
-        same = out.filter("shard is null")
-        same = with_position(same, F.col("bytes"), by=["_bits"], name="_place")
+        same = with_position(out.filter("shard is null"), F.col("bytes"), by=["bits"], name="place")
         each = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest("bytes", F.lit(1))))
-        same = same.withColumn("shard", F.concat(F.lit("s"), "_bits", F.lit("-"), F.floor(F.col("_place") / each).cast("string")))
-        out = out.filter("shard is not null").unionByName(same.drop("_place"))
-    return out.drop("_bits")
+        same = same.withColumn("shard", F.concat(F.lit("s"), "bits", F.lit("-"), F.floor(F.col("place") / each).cast("string")))
+        out = out.filter("shard is not null").unionByName(same.drop("place"))
+    return out.select("row.*", "shard", "bytes")

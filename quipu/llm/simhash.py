@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quipu.llm.common import packed
 from quipu.storage import stage
 
 BITS, DISTANCE = 64, 3
@@ -241,16 +242,16 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     found = _classified(docs, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     rows = found.groupBy("label", "doc_id", "digest").agg(F.count("*").alias("n"))
     first = F.min(F.struct("digest", "n")).alias("first")  # rows of one label here share their id
-    kept = rows.groupBy("label", "doc_id").agg(first).select(F.col("doc_id").alias("_kept_id"), "first.*")
-    kept = stage(kept.withColumnRenamed("digest", "_kept_digest"), "kept")
-    marked = docs.withColumn("_digest", F.xxhash64(F.col(text_col)))
+    kept = rows.groupBy("label", "doc_id").agg(first).select(F.col("doc_id").alias("kept_id"), "first.*")
+    kept = stage(kept.withColumnRenamed("digest", "kept_digest"), "kept")
+    marked = docs.select(packed(docs), F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("digest"))
 
     def among(part: DataFrame) -> DataFrame:
-        same = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_digest") == F.col("_kept_digest"))
-        return marked.join(part.select("_kept_id", "_kept_digest"), same, "left_semi")
+        same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("digest") == F.col("kept_digest"))
+        return marked.join(part.select("kept_id", "kept_digest"), same, "left_semi")
 
     out = among(kept.filter("n = 1"))
     repeated = kept.filter("n > 1")
     if not repeated.isEmpty():
-        out = out.unionByName(among(repeated).dropDuplicates([id_col, "_digest"]))
-    return out.drop("_digest")
+        out = out.unionByName(among(repeated).dropDuplicates(["doc_id", "digest"]))
+    return out.select("row.*")

@@ -65,7 +65,7 @@ def test_spans_point_into_the_original():
 
 
 def test_empty_tables_and_filter(spark):
-    docs = spark.createDataFrame([(1, "a b c", "k", 0), (2, "q", "k", 0), (2, "q", "k", 0), (3, None, None, None)], DOCS).drop("contamination")
+    docs = spark.createDataFrame([(1, "a b c", "k", 0), (2, "q", "k", 0), (2, "q", "k", 0), (3, None, None, None)], DOCS)
     none = spark.createDataFrame([], ITEMS)
     assert dec.without_contaminated(docs, none).count() == 4
     bench = spark.createDataFrame([(1, "A-B", None)], ITEMS)

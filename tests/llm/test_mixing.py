@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quipu.llm import mixing
 
-SCHEMA = "doc_id long, text string, source string, size long, taken string, n_chars int"
+SCHEMA = "doc_id long, text string, source string, size long, row string, n_chars int"
 
 
 def words(n, tag="w"):

@@ -2,7 +2,7 @@ import random
 
 from quipu.llm import sharding
 
-SCHEMA = "doc_id long, text string, shard int, bytes string, _bits string"
+SCHEMA = "doc_id long, text string, shard int, bytes string, bits string"
 
 
 def check(rows, found, limit):
@@ -23,7 +23,7 @@ def test_fits_and_splits_only_where_needed(spark):
     rng = random.Random(5)
     rows = [(i, "x" * rng.choice([0, 10, 200, 900]), 1, "b", "c") for i in range(300)]
     rows += [(1000, "é" * 4000, 1, "b", "c"), (None, None, None, None, None)]
-    out = sharding.sharded(spark.createDataFrame(rows, SCHEMA).drop("_bits"), limit=3000)
+    out = sharding.sharded(spark.createDataFrame(rows, SCHEMA), limit=3000)
     found = out.collect()
     shards = check(rows, found, 3000)
     assert any(sizes == [8000] for sizes in shards.values())
@@ -38,12 +38,12 @@ def test_fits_and_splits_only_where_needed(spark):
 
 def test_repeated_rows_go_to_numbered_shards(spark):
     rows = [(7, "y" * 100, 1, "b", "c")] * 50 + [(i, "z" * 50, 1, "b", "c") for i in range(20)]
-    found = sharding.sharded(spark.createDataFrame(rows, SCHEMA).drop("_bits"), limit=250).collect()
+    found = sharding.sharded(spark.createDataFrame(rows, SCHEMA), limit=250).collect()
     shards = check(rows, found, 250)
     assert sum("-" in s for s in shards) == 25
 
 
 def test_small_and_empty(spark):
-    one = sharding.sharded(spark.createDataFrame([(1, "a", 0, "", "")], SCHEMA).drop("_bits")).collect()
+    one = sharding.sharded(spark.createDataFrame([(1, "a", 0, "", "")], SCHEMA)).collect()
     assert [(r["shard"], r["bytes"]) for r in one] == [("s", 1)]
-    assert sharding.sharded(spark.createDataFrame([], SCHEMA).drop("_bits")).count() == 0
+    assert sharding.sharded(spark.createDataFrame([], SCHEMA)).count() == 0

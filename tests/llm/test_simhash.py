@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quipu.llm import simhash
 
-SCHEMA = "doc_id long, text string, fp string, component_id int, lang string"
+SCHEMA = "doc_id long, text string, digest string, component_id int, row string"
 
 
 def plain_fingerprint(text, n=3):
@@ -106,7 +106,7 @@ def test_forest_spans():
 def test_one_of_each_keeps_whole_rows(spark):
     rows = [(4, "a b c d", "x", 1, None), (2, "A b c d", "y", 2, "de"), (2, "A b c d", "y", 2, "de"), (9, "z y x w", None, 3, "en"), (None, "q r s t", None, 4, None), (None, "m n o p", None, 4, None), (9, "l k j i", None, 3, "en")]
     kept = simhash.one_of_each(spark.createDataFrame(rows, SCHEMA))
-    assert kept.columns == ["doc_id", "text", "fp", "component_id", "lang"]
+    assert kept.columns == ["doc_id", "text", "digest", "component_id", "row"]
     assert sorted(map(str, (tuple(r) for r in kept.collect()))) == sorted(map(str, [rows[1], *rows[3:]]))
 
 
