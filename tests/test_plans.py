@@ -2,6 +2,8 @@
 
 import pytest
 
+from quipu import storage
+from quipu.operators import ordering, quantiles, schedule
 from quipu.plans import load
 
 FOLDER = "/root/testdata/sf0.001"
@@ -46,3 +48,26 @@ def test_repeats_are_folded_below_the_join(spark, name):
 
 def test_top_k_is_taken_per_task(spark):
     assert "TakeOrderedAndProject" in plan(QUERIES["top_k"](spark, FOLDER))
+
+
+@pytest.mark.parametrize("name", ["describe", "box_stats", "cron_expand", "row_slice", "actor_ranking", "mat_sort_axis"])
+def test_legs_before_stored_tables(spark, name, monkeypatch):
+    """Also the plans that run while a query is declared, with no table small enough to broadcast."""
+    legs = []
+
+    def watched(df, label):
+        legs.append(plan(df))
+        return storage.stage(df, label)
+
+    for module in (ordering, quantiles, schedule):
+        monkeypatch.setattr(module, "stage", watched)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        legs.append(plan(QUERIES[name](spark, FOLDER)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert len(legs) > 1
+    for text in legs:
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+        assert "Python" not in text and "InPandas" not in text
