@@ -144,7 +144,7 @@ def box_stats(
         return reduce(lambda a, b: a & b, [rows[k].eqNullSafe(F.col(f"_box_{k}")) for k in keys])
 
     stored, totals = _sorted(counts, keys)
-    boxes = fences(_pick(_near_ranks(stored, totals, keys, probs), keys, probs))
+    boxes = stage(fences(_pick(_near_ranks(stored, totals, keys, probs), keys, probs)), "boxes")
     parts = totals.join(boxes, same_key(totals)).select(
         PART, *keys, "n", "q25", "q50", "q75", "_low", "_high"
     )
