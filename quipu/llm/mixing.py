@@ -164,11 +164,13 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
         F.col("source").alias("unit_source"), F.col("doc_id").alias("unit_id"), F.col("size").alias("unit_size"), "taken"
     )
     sized = docs.select(
-        packed(docs), F.col(text_col).alias("whole"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
+        packed(docs), F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
     )
     same = F.col("source").eqNullSafe(F.col("unit_source")) & F.col("id").eqNullSafe(F.col("unit_id")) & (F.col("size") == F.col("unit_size"))
-    passes = sized.join(units, same).withColumn("left", F.expr("explode(transform(sequence(0L, (taken - 1) div size), p -> taken - p * size))"))
-    cut = F.when(F.col("left") >= F.col("size"), F.col("whole")).otherwise(_first_words(F.col("whole"), F.col("left").cast("int")))
+    # The units grow with the texts, so they are merged at every size, never broadcast.
+    passes = sized.join(units.hint("merge"), same).withColumn("left", F.expr("explode(transform(sequence(0L, (taken - 1) div size), p -> taken - p * size))"))
+    whole = F.col("row").getField(text_col)
+    cut = F.when(F.col("left") >= F.col("size"), whole).otherwise(_first_words(whole, F.col("left").cast("int")))
     out = passes.select("row", cut.alias("cut")).withColumn("row", F.col("row").withField(f"`{text_col}`", F.col("cut")))
     if "n_chars" in docs.columns:
         length = F.length("cut").cast(docs.schema["n_chars"].dataType)

@@ -248,7 +248,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def among(part: DataFrame) -> DataFrame:
         same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("digest") == F.col("kept_digest"))
-        return marked.join(part.select("kept_id", "kept_digest"), same, "left_semi")
+        # The list grows with the texts, so it is merged at every size, never broadcast.
+        return marked.join(part.select("kept_id", "kept_digest").hint("merge"), same, "left_semi")
 
     out = among(kept.filter("n = 1"))
     repeated = kept.filter("n > 1")
