@@ -13,7 +13,7 @@ second round can hold more than 8192 fingerprints and no link is lost.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -232,14 +232,15 @@ def hexadecimal(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", classified: Callable[..., DataFrame] = _classified) -> DataFrame:
     """Whole rows of ``docs``: of each component the document with the smallest id.
 
+    ``classified`` gives the components; without it they are those of the fingerprints.
     Rows that repeat that id with the same text count as the same document, of which
     one stays; so does one of a component without ids. All columns are kept. The texts
     meet the list of kept documents in one join; only repeated rows are dealt again.
     """
-    found = _classified(docs, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = classified(docs, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     rows = found.groupBy("label", "doc_id", "digest").agg(F.count("*").alias("n"))
     first = F.min(F.struct("digest", "n")).alias("first")  # rows of one label here share their id
     kept = rows.groupBy("label", "doc_id").agg(first).select(F.col("doc_id").alias("kept_id"), "first.*")

@@ -1,0 +1,93 @@
+"""Near-duplicates by Jaccard similarity against all pairs in plain Python."""
+
+import random
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from quipu.llm import jaccard, simhash
+
+SCHEMA = "doc_id long, text string, digest string, label long, key int"
+
+
+def plain_set(text, n=5):
+    words = [w.lower() for w in (text or "").split()]
+    return {tuple(words[i : i + n]) for i in range(max(len(words) - n + 1, 1))} if words else set()
+
+
+def plain_components(rows):
+    sets, label = [plain_set(r[1]) for r in rows], list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if sets[i] == sets[j] or common and common >= 0.8 * (len(sets[i]) + len(sets[j]) - common):
+                a, b = label[i], label[j]
+                label = [b if x == a else x for x in label]
+    least = {}
+    for r, x in zip(rows, label):
+        if r[0] is not None:
+            least[x] = min(least.get(x, r[0]), r[0])
+    return [least.get(x) for x in label]
+
+
+def corpus():
+    rng = random.Random(4)
+    texts = [None, "", " \t", "One two", "one  TWO", "one two three", "a b c d e", "a b c d e f"]
+    for size in (40, 120, 400):
+        for _ in range(6):
+            base = [f"w{rng.randrange(5000)}" for _ in range(size)]
+            for _ in range(8):  # chains of changes: neighbours alike, ends not
+                base = list(base)
+                for _ in range(max(1, size // 60)):
+                    base[rng.randrange(size)] = f"v{rng.randrange(10**6)}"
+                texts.append(" ".join(base))
+    return [(i * 7 % 997 if i else None, t, "x", 1, 2) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("block_rows", [1024, 2])
+def test_components_against_all_pairs(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(jaccard, "_BLOCK_ROWS", block_rows)
+    rows = corpus()
+    rows += rows[5:8]  # repeated rows
+    found = jaccard.classified(spark.createDataFrame(rows, SCHEMA)).collect()
+    expected = [(r[0], c) for r, c in zip(rows, plain_components(rows))]
+    assert sorted(map(str, ((r["doc_id"], r["component_id"]) for r in found))) == sorted(map(str, expected))
+
+
+def test_the_stage_joins_texts_whose_fingerprints_lie_apart(spark):
+    rng = random.Random(1)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(0, " ".join(base), "x", 1, 2)]
+    for i in range(1, 30):
+        changed = list(base)
+        for at in rng.sample(range(0, 200, 10), 3):
+            changed[at] = f"v{i}-{at}"
+        rows.append((i, " ".join(changed), "x", 1, 2))
+    prints = [simhash.fingerprint_of(r[1].encode()) for r in rows]
+    assert any((p ^ prints[0]).bit_count() > 3 for p in prints)
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, spark.createDataFrame(rows, SCHEMA), "")
+    assert [tuple(r) for r in kept.collect()] == rows[:1]
+
+
+def test_shared_buckets_over_batches():
+    rows = [(1, 5), (2, 1), (2, 3), (2, 9), (3, 4), (4, 2), (4, 6)]
+    import pyarrow as pa
+
+    for cut in range(1, 8):
+        parts = [rows[i : i + cut] for i in range(0, 7, cut)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*p)], names=["bucket", "key"]) for p in parts]
+        got = [tuple(r.values()) for b in jaccard._shared(iter(batches)) for r in b.to_pylist()]
+        assert got == [(2, 1, 1), (2, 3, 1), (2, 9, 1), (4, 2, 2), (4, 6, 2)], cut
+
+
+def test_empty_table_and_chance(spark):
+    assert jaccard.classified(spark.createDataFrame([], SCHEMA)).count() == 0
+    assert (1 - jaccard.SIMILARITY**jaccard.ROWS) ** jaccard.BANDS < 1e-5
+    rng = np.random.default_rng(2)
+    missed = 0
+    for _ in range(300):
+        pool = np.unique(rng.integers(0, 1 << 63, 180, dtype=np.uint64))
+        a, b = pool[:162], pool[18:]  # similarity 0.8
+        missed += not set(jaccard.buckets_of(a)) & set(jaccard.buckets_of(b))
+    assert missed == 0
