@@ -9,6 +9,11 @@ perturbed bucket is a product of normal masses. Buckets are visited in the order
 chance, until what they add up to, over all tables, reaches ``SUCCESS``. Candidates of all
 tables are ranked by the exact inner product in double precision.
 
+Every query has a radius of its own. The first buckets are those for the fitted ``r``; the
+last of the wanted candidates in them is no nearer than the last true neighbour, so a query
+whose last candidate lies beyond ``r`` visits the buckets for that distance too, and one with
+too few candidates visits all.
+
 ``r`` and ``W`` are fitted on a bounded sample; every row is indexed. A query goes to the
 buckets, never to a driver, and a bucket is cut into chunks of at most ``CHUNK`` rows or so,
 so no task holds more at once. Equal vectors are one point, whose smallest ids suffice.
@@ -32,7 +37,9 @@ SUCCESS = 0.96
 TABLES, HASHES = 1, 3
 CHUNK = 4096
 _BUCKET_ROWS = 4096  # rows of a bucket that W aims at
-_BEAM = 20_000
+_CHOICES, _VISITS = 1 << 20, 20_000  # slots weighed for one query, and buckets named; beyond that it visits all
+_FARTHEST = 2.0  # between two points
+_SHARES = 16  # of the buckets, for queries that visit all
 _SLOT_BITS = 16
 _EXACT = 0.5 * np.vectorize(math.erf)(np.linspace(-8, 8, 16_001) / math.sqrt(2)) + 0.5
 
@@ -61,21 +68,26 @@ class Index:
             code = (code << _SLOT_BITS) + column + limit
         return code
 
-    def probes(self, table: int, place: np.ndarray, success: float) -> np.ndarray:
-        """Buckets for one query, most promising first, until the chance of success is reached."""
-        reach = math.ceil(4 * self.distance / self.width)
+    def probes(self, table: int, place: np.ndarray, success: float, distance: float | None = None) -> np.ndarray | None:
+        """Buckets for one query, most promising first, until the chance of success is reached; None for all there are.
+
+        The chance is that of a neighbour at ``distance``, else at the fitted distance.
+        """
+        distance = distance or self.distance
+        reach = math.ceil(4 * distance / self.width)
         step = np.arange(-reach, reach + 1)
+        if len(step) ** len(place) > _CHOICES:
+            return None
         home = np.floor(place)
-        low = (step[None, :] - (place - home)[:, None]) * self.width / self.distance
-        mass = _normal(low + self.width / self.distance) - _normal(low)
+        low = (step[None, :] - (place - home)[:, None]) * self.width / distance
+        mass = _normal(low + self.width / distance) - _normal(low)
         chance, slots = np.ones(1), np.zeros((1, 0))
         for i in range(len(place)):
             chance = (chance[:, None] * mass[i][None, :]).ravel()
             slots = np.column_stack((np.repeat(slots, len(step), axis=0), np.tile(home[i] + step, len(slots))))
-            best = np.argsort(-chance, kind="stable")[:_BEAM]
-            chance, slots = chance[best], slots[best]
-        n = int(np.searchsorted(np.cumsum(chance), success)) + 1
-        return self.codes(slots[:n])
+        best = np.argsort(-chance, kind="stable")
+        n = int(np.searchsorted(np.cumsum(chance[best]), success)) + 1
+        return self.codes(slots[best[:n]]) if n <= _VISITS else None
 
 
 def as_points(vectors: np.ndarray, norm: float) -> np.ndarray:
@@ -114,30 +126,57 @@ def _vectors(batch: pa.Array) -> np.ndarray:
     return batch.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(batch), -1)
 
 
-def _bucketed(rows: DataFrame, index: Index, success: float | None) -> DataFrame:
-    """Rows (id, vector) with table and bucket: each row's own, or those a query visits."""
+def _bucketed(rows: DataFrame, index: Index) -> DataFrame:
+    """Rows (id, vector) with each one's own bucket per table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            vectors = _vectors(batch.column(1))
+            points = as_points(_vectors(batch.column(1)), index.norm)
             for table in range(len(index.projections)):
-                points = as_points(vectors, index.norm) if success is None else as_queries(vectors)
-                places = index.places(table, points)
-                if success is None:
-                    codes = [[int(c)] for c in index.codes(np.floor(places))]
-                else:
-                    each = 1 - (1 - success) ** (1 / len(index.projections))
-                    codes = [index.probes(table, place, each).tolist() for place in places]
+                codes = index.codes(np.floor(index.places(table, points)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array([table] * len(codes), pa.int32()), pa.array(codes, pa.int64())],
+                    names=["id", "vector", "table", "bucket"],
+                )
+
+    kind = rows.schema["vector"].dataType.simpleString()
+    return rows.mapInArrow(run, f"id long, vector {kind}, table int, bucket long")
+
+
+def _visits(rows: DataFrame, index: Index, success: float, sizes: DataFrame) -> DataFrame:
+    """Rows (id, vector) with the chunks they visit; with a column ``radius``, those that it adds to the first ones."""
+    each = 1 - (1 - success) ** (1 / len(index.projections))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            points = as_queries(_vectors(batch.column(1)))
+            radius = batch.column(2).to_numpy() if batch.num_columns > 2 else None
+            for table in range(len(index.projections)):
+                codes = []
+                for i, place in enumerate(index.places(table, points)):
+                    found = index.probes(table, place, each)
+                    if radius is not None:
+                        more = index.probes(table, place, each, radius[i]) if found is not None else np.zeros(0, np.int64)
+                        found = more if found is None or more is None else np.setdiff1d(more, found)
+                    codes.append(None if found is None else found.tolist())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1), pa.array([table] * len(codes), pa.int32()), pa.array(codes, pa.list_(pa.int64()))],
                     names=["id", "vector", "table", "buckets"],
                 )
 
     kind = rows.schema["vector"].dataType.simpleString()
-    made = rows.mapInArrow(run, f"id long, vector {kind}, table int, buckets array<long>")
-    return made.withColumn("bucket", F.explode("buckets")).drop("buckets")
+    made = stage(rows.mapInArrow(run, f"id long, vector {kind}, table int, buckets array<long>"), "visits")
+    named = made.withColumn("bucket", F.explode("buckets")).drop("buckets").join(sizes, ["table", "bucket"])
+    # A query that visits all buckets meets them in shares, as all rows have one table.
+    shares = made.filter("buckets is null").withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(_SHARES - 1)))).drop("buckets")
+    everywhere = shares.join(sizes.withColumn("share", F.pmod(F.xxhash64("bucket"), F.lit(_SHARES)).cast("int")), ["table", "share"]).drop("share")
+    found = named.unionByName(everywhere)
+    chunk = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
+    return found.select("table", "bucket", chunk, F.lit(1).alias("asks"), "id", "vector")
 
 
 def _ranked(keep: int):
@@ -223,21 +262,34 @@ def search(
     drawn = points.select("point", "vector").orderBy(F.xxhash64("point"), "point").limit(SAMPLE).collect()
     index = fit(np.array([r["vector"] for r in drawn], float), state["n"], state["norm"], nearest)
 
-    placed = stage(_bucketed(points.select(F.col("point").alias("id"), "vector"), index, None), "buckets")
+    placed = stage(_bucketed(points.select(F.col("point").alias("id"), "vector"), index), "buckets")
     sizes = placed.groupBy("table", "bucket").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks"))
     sizes = broadcast_if_short(stage(sizes, "bucket_sizes"))
     stored = placed.join(sizes, ["table", "bucket"]).select(
         "table", "bucket", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"), F.lit(0).alias("asks"), "id", "vector"
     )
     wanted = asking.select("point").distinct().join(points.select("point", "vector"), "point").withColumnRenamed("point", "id")
-    visits = _bucketed(wanted, index, success).join(sizes, ["table", "bucket"])
-    visits = visits.select("table", "bucket", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("asks"), "id", "vector")
-    met = stored.unionByName(visits).repartition("table", "bucket", "chunk").sortWithinPartitions("table", "bucket", "chunk", "asks", "id")
-    partial = met.mapInArrow(_ranked(nearest + 1), "query long, found long, score double")
-    if len(index.projections) > 1:  # tables may find the same point
-        partial = partial.groupBy("query", "found").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "found")
-    top = partial.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= nearest + 1).select("query", "found", "score")
+
+    def met(visits: DataFrame) -> DataFrame:
+        rows = stored.unionByName(visits).repartition("table", "bucket", "chunk").sortWithinPartitions("table", "bucket", "chunk", "asks", "id")
+        return rows.mapInArrow(_ranked(nearest + 1), "query long, found long, score double")
+
+    def best(partial: DataFrame) -> DataFrame:
+        partial = partial.groupBy("query", "found").agg(F.max("score").alias("score"))  # tables and rounds may find the same point
+        order = Window.partitionBy("query").orderBy(F.desc("score"), "found")
+        return partial.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= nearest + 1).select("query", "found", "score")
+
+    wanted = stage(wanted, "wanted")
+    top = stage(best(met(_visits(wanted, index, success, sizes))), "first")
+    # One more than wanted, as the query itself may be among them.
+    last = top.groupBy("query").agg(F.count("*").alias("n"), F.min("score").alias("score"))
+    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    apart = F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.col("score") / (length * F.lit(float(state["norm"])))))
+    radius = F.when(F.col("n") > nearest, apart).otherwise(F.lit(_FARTHEST))
+    far = wanted.join(last, wanted["id"] == last["query"], "left").select("id", "vector", radius.alias("radius"))
+    far = stage(far.filter(F.col("radius") > index.distance), "far")
+    if not far.isEmpty():
+        top = best(top.unionByName(met(_visits(far, index, success, sizes))))
     top = top.join(points.select(F.col("point").alias("found"), "ids"), "found").select("query", "score", F.explode("ids").alias("vec_id"))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     top = top.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= nearest + 1).select("query", "score", "vec_id")

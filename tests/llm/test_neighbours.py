@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from quipu.llm import neighbours
@@ -81,3 +82,33 @@ def test_probes_come_in_order_of_chance_and_start_at_home():
     codes = index.probes(0, place, 0.9)
     assert len(set(codes.tolist())) == len(codes) and index.codes(np.floor(place)[None, :])[0] in codes[:3]
     assert len(index.probes(0, place, 0.99)) > len(index.probes(0, place, 0.5))
+
+
+def mixed_vectors(group):
+    """Four fifths in tight clusters, the others spread, in mixed order."""
+    rng = np.random.default_rng(group)
+    centers = rng.normal(size=(1600 // group, 64))
+    near = np.repeat(centers, group, axis=0) + 0.1 * rng.normal(size=(1600 // group * group, 64))
+    spread = rng.normal(size=(2000 - len(near), 64))
+    vectors = np.concatenate((near, spread))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    order = rng.permutation(2000)
+    return vectors[order], {i for i, at in enumerate(order) if at >= len(near)}
+
+
+@pytest.mark.parametrize("group", [40, 100])
+def test_recall_of_spread_vectors_among_clusters(spark, group):
+    vectors, lonely = mixed_vectors(group)
+    rows = clash([(i, v.tolist()) for i, v in enumerate(vectors)])
+    got, expected = compare(spark, rows, 0.9), plain(rows)
+    spread = [q for q in expected if q in lonely]
+    hits = sum(len({m[1] for m in got.get(q, [])} & {i for _, i in expected[q]}) for q in spread)
+    assert spread and hits >= 0.9 * 20 * len(spread)
+
+
+def test_a_query_with_far_neighbours_names_all_buckets_or_enough():
+    rng = np.random.default_rng(3)
+    index = neighbours.fit(rng.normal(size=(300, 8)), 300, 5.0, 20)
+    place = index.places(0, neighbours.as_queries(rng.normal(size=(1, 8))))[0]
+    assert len(index.probes(0, place, 0.9, 2 * index.distance)) > len(index.probes(0, place, 0.9))
+    assert index.probes(0, place, 0.9, 1e6) is None
