@@ -37,15 +37,6 @@ def training_rows(
     return found.toPandas().sort_values("doc_id", ignore_index=True), share
 
 
-def sample_texts(docs: DataFrame, id_col: str, text_col: str, condition: Column, most: int, max_chars: int) -> list[str]:
-    """Texts of at most ``most`` documents that meet ``condition``, chosen by a digest of the id, each cut after ``max_chars``."""
-    ids = docs.filter(condition & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id")).distinct()
-    chosen = F.broadcast(ids.orderBy(F.md5(F.concat(F.lit("fit:"), F.col("_id").cast("string")).cast("binary")), "_id").limit(most))
-    texts = docs.select(F.col(id_col).alias("_doc"), F.substring(text_col, 1, max_chars).alias("_text"))
-    found = texts.join(chosen, texts["_doc"] == chosen["_id"]).groupBy("_doc").agg(F.min("_text").alias("_text"))
-    return [r["_text"] or "" for r in found.orderBy("_doc").collect()]
-
-
 def with_scores(docs: DataFrame, score: Column, threshold: float) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))

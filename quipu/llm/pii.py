@@ -8,14 +8,16 @@ name (the skips). Loopy belief propagation passes the known labels along both ki
 links, so that a telephone number that is given in full once is also found where it is
 repeated without its country code.
 
-Nothing is labelled by hand: the node weights (a softmax regression on shape features)
-and the strength of the links (how often linked known spans agree) are fitted on a bounded
-sample, the known shapes being the labels.
+Nothing is labelled by hand: the node weights are a softmax regression on shape features
+of a bounded sample of the documents with a known shape, and the strength of the links (how
+often linked known spans agree) is a rate over all documents, the known shapes being the labels.
+Both are counted from whole texts in the tasks.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,13 +26,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quipu.llm.labelled import sample_texts
+from quipu.storage import stage
 
-SAMPLE, MAX_CHARS = 3_000, 10_000  # documents that are fitted on, at most, and characters of each
+SAMPLE = 3_000  # documents whose nodes are fitted on, at most
 THRESHOLD, ROUNDS = 0.5, 15
 KINDS = ("email", "ip", "card", "phone")
 _OTHER = len(KINDS)  # the label of a node that is no personal data
 _NODE_BOUND, _CHAIN_BOUND, _SKIP_BOUND = 4.0, 1.0, 8.0
+_LEAST_SHARE = 1e-4  # added to the shares of agreeing and other links
 
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -227,27 +230,43 @@ def spans_of(text: str | None, model: Model | None) -> list[tuple[int, int, int,
     return sorted(sure + added)
 
 
+_Look = tuple[int, int]  # features as bits, and the label
+
+
+def evidence(text: str | None) -> tuple[Counter[_Look], list[int]] | None:
+    """The looks of a text's nodes, and its links between known spans: chain and skip, each other and agreeing. None without a known span."""
+    base = known(text or "")
+    if not base:
+        return None
+    nodes = nodes_of(text, base)
+    looks = Counter((int(shape(text[a:b]) @ (1 << np.arange(_SHAPES))), label if label >= 0 else _OTHER) for a, label, b in nodes)
+    pairs = [0] * 4
+    for i, j, kind in links_of(text, nodes) if len(base) > 1 else ():
+        if nodes[i][1] >= 0 and nodes[j][1] >= 0:
+            pairs[2 * kind + (nodes[i][1] == nodes[j][1])] += 1
+    return looks, pairs
+
+
 def fit(texts: list[str], ridge: float = 1.0, steps: int = 200) -> Model | None:
-    """Node weights and link strengths of sampled texts; None without any known span."""
-    x, y, pairs = [], [], ([1, 1], [1, 1])
-    for text in texts:
-        nodes = nodes_of(text, known(text))
-        for a, label, b in nodes:
-            x.append(shape(text[a:b]))
-            y.append(label if label >= 0 else _OTHER)
-        for i, j, kind in links_of(text, nodes):
-            if nodes[i][1] >= 0 and nodes[j][1] >= 0:
-                pairs[kind][nodes[i][1] == nodes[j][1]] += 1
-    if not x or min(y) == _OTHER:
+    """Node weights and link strengths of texts; None without any known span."""
+    found = [e for e in map(evidence, texts) if e]
+    return fitted(sum((e[0] for e in found), Counter()), [sum(e[1][k] for e in found) for k in range(4)], ridge, steps)
+
+
+def fitted(counts: Counter[_Look], pairs: list[int], ridge: float = 1.0, steps: int = 200) -> Model | None:
+    """Node weights of counted looks, and link strengths; None without a known span."""
+    seen = sorted(counts)
+    if all(label == _OTHER for _, label in seen):
         return None
+    x = np.array([[code >> i & 1 for i in range(_SHAPES)] for code, _ in seen], float)
+    y, n = np.array([label for _, label in seen]), np.array([counts[look] for look in seen], float)
     # A look that lacks what makes its kind sure counts as other, so that by itself it stays
     # doubtful and only a link can decide; so does every single feature.
-    bare = np.array(x)[np.array(y) != _OTHER]
+    bare = x[y != _OTHER].copy()
     bare[:, _SURE] = 0
-    x = np.array([*x, *bare, *np.eye(_SHAPES), *np.eye(_SHAPES)])
-    y = np.array(y + [_OTHER] * (len(bare) + 2 * _SHAPES))
-    looks, index = np.unique(np.column_stack((x, y)), axis=0, return_counts=True)
-    x, y, n = looks[:, :-1], looks[:, -1].astype(int), index.astype(float)
+    n = np.concatenate((n, n[y != _OTHER], np.full(_SHAPES, 2.0)))
+    x = np.concatenate((x, bare, np.eye(_SHAPES)))
+    y = np.concatenate((y, np.full(len(bare) + _SHAPES, _OTHER)))
     w = np.zeros((_SHAPES, len(KINDS) + 1))
     target = np.eye(len(KINDS) + 1)[y]
     rate = 4.0 / (n.sum() * max((x**2).sum(axis=1).max(), 1) / 2 + ridge)
@@ -256,13 +275,39 @@ def fit(texts: list[str], ridge: float = 1.0, steps: int = 200) -> Model | None:
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         w += rate * (x.T @ ((target - p) * n[:, None]) - ridge * w)
-    chain, skip = (float(np.log(agree / other)) for other, agree in pairs)
+    # Shares, so that the strength does not grow with the table; without any link it is 0.
+    chain, skip = (
+        float(np.log((agree / max(agree + other, 1) + _LEAST_SHARE) / (other / max(agree + other, 1) + _LEAST_SHARE))) for other, agree in (pairs[:2], pairs[2:])
+    )
     return Model(w, (min(max(chain, 0.0), _CHAIN_BOUND), min(max(skip, 0.0), _SKIP_BOUND)))
 
 
-def trained(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = SAMPLE, max_chars: int = MAX_CHARS) -> Model | None:
-    """A model of a bounded sample of the documents that hold a digit or an @."""
-    return fit(sample_texts(docs, id_col, text_col, F.col(text_col).rlike("[0-9]{3}|@"), most, max_chars))
+_EVIDENCE = "struct<looks:array<struct<code:int,label:int,n:bigint>>,pairs:array<bigint>>"
+
+
+def _evidence(text: Column) -> Column:
+    kind = pa.struct([("looks", pa.list_(pa.struct([("code", pa.int32()), ("label", pa.int32()), ("n", pa.int64())]))), ("pairs", pa.list_(pa.int64()))])
+
+    @F.arrow_udf(_EVIDENCE)
+    def build(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            found = (evidence(t.as_py()) for t in batch)
+            yield pa.array([e and {"looks": [{"code": c, "label": k, "n": n} for (c, k), n in sorted(e[0].items())], "pairs": e[1]} for e in found], kind)
+
+    return build(text)
+
+
+def trained(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = SAMPLE) -> Model | None:
+    """A model of the documents that hold a known shape: links of all of them, nodes of at most ``most``, chosen by a digest of the id."""
+    text = F.col(text_col)
+    held = docs.filter(text.rlike("[0-9@]")).select(F.col(id_col).alias("doc_id"), _evidence(text).alias("found"))
+    held = stage(held.filter("found is not null").select("doc_id", "found.*"), "evidence")
+    pairs = held.agg(*[F.coalesce(F.sum(F.col("pairs")[k]), F.lit(0)) for k in range(4)]).first()
+    each = held.groupBy("doc_id").agg(F.max("looks").alias("looks"))  # a repeated id is drawn once
+    turn = F.md5(F.concat(F.lit("fit:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
+    drawn = each.orderBy(turn, "doc_id").limit(most).select(F.explode("looks").alias("look"))
+    looks = drawn.groupBy("look.code", "look.label").agg(F.sum("look.n").alias("n")).collect()  # bounded by the number of looks
+    return fitted(Counter({(r["code"], r["label"]): r["n"] for r in looks}), list(pairs))
 
 
 _SPANS = "array<struct<start:int,kind:int,end:int,known:boolean>>"
@@ -273,7 +318,7 @@ def personal_data(text: Column, model: Model | None) -> Column:
     """Spans of a text, as an array of (start, kind, end, known); kinds number KINDS.
 
     Places count code points, ends are exclusive. A null text counts as empty and has no
-    spans. Without a model (no known span in the sample) only the known shapes are found.
+    spans. Without a model (no known span in the table) only the known shapes are found.
     """
 
     @F.arrow_udf(_SPANS)

@@ -108,3 +108,15 @@ def test_over_a_table(spark):
     assert pii.trained(empty) is None
     assert empty.select(pii.listed(pii.personal_data(F.col("text"), None))).count() == 0
     assert pii.fit(["no data at all 12345678"]) is None
+
+
+def test_rare_data_among_many_numbers_is_fitted_on_and_few_repeats_suffice(spark):
+    rng = random.Random(3)
+    rows = [(i, f"listing {rng.randrange(100, 999)} at {rng.randrange(1000, 9999)}", "clash", 0) for i in range(400)]
+    rows += [(400, "word " * 4000 + "call +1 (808) 555-1705 or +1 (808) 555-1705", "clash", 0)]  # beyond 10,000 characters
+    model = pii.trained(spark.createDataFrame(rows, SCHEMA), most=20)
+    assert model is not None and model.strength[1] > 4
+    many = pii.fit(corpus() * 3)
+    assert np.allclose(many.strength, pii.fit(corpus()).strength)  # rates
+    text = "Call +1 (212) 555-1234, later (212) 555-1234"
+    assert [(text[a:b], sure) for a, _, b, sure in pii.spans_of(text, model)] == [("+1 (212) 555-1234", True), ("(212) 555-1234", False)]
