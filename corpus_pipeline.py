@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import decontamination, jaccard, mixing, sharding, simhash, toxicity
+from quipu.llm import decontamination, mixing, sharding, simhash, toxicity
 from quipu.storage import stage
 
 
@@ -21,8 +21,8 @@ def _not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a similarity of 0.8 in their shingles of five words, the one with the smallest id stays."""
-    return simhash.one_of_each(docs, classified=jaccard.classified)
+    """Of documents linked by fingerprints of at most three differing bits, the one with the smallest id stays."""
+    return simhash.one_of_each(docs)
 
 
 def _decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
