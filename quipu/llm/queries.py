@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import chat, decontamination, mixing, neighbours, pii, quality, secrets, sharding, simhash, toxicity
+from quipu.llm import chat, decontamination, lexical, mixing, neighbours, pii, quality, secrets, sharding, simhash, toxicity
 from quipu.llm.labelled import with_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -202,3 +202,38 @@ def op5_neighbours(spark, folder):
 )
 def op3_chat(spark, folder):
     return chat.conversations(_table(spark, folder, "conversations"))
+
+
+@_query(
+    "op13_lexical",
+    """
+    WITH docs AS (
+      SELECT row_number() OVER () AS r, doc_id,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS words
+      FROM documents),
+    items AS (
+      SELECT row_number() OVER () AS q, * FROM (
+        SELECT DISTINCT item_id,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS words
+        FROM benchmark)),
+    asked AS (SELECT q, item_id, term, count(*) AS repeats FROM (SELECT q, item_id, unnest(words) AS term FROM items) GROUP BY ALL),
+    totals AS (SELECT count(*) AS nd, CAST(sum(len(words)) AS BIGINT) AS l FROM docs WHERE len(words) > 0),
+    counted AS (
+      SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(words) AS n, unnest(words) AS term FROM docs)
+      WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+    weights AS (
+      SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(nd) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+      FROM counted, totals GROUP BY term),
+    scored AS (
+      SELECT q, item_id, r, doc_id,
+             CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nd) // l)))) AS BIGINT) AS score
+      FROM asked JOIN counted USING (term) JOIN weights USING (term), totals GROUP BY ALL)
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST, r) AS INTEGER) AS rank, doc_id, score
+    FROM scored WHERE score > 0
+    QUALIFY rank <= 20
+    """,
+)
+def op13_lexical(spark, folder):
+    return lexical.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
