@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import chat, decontamination, lexical, mixing, neighbours, pii, quality, secrets, sharding, simhash, toxicity
+from quipu.llm import (
+    chat, decontamination, lexical, mixing, neighbours, pii, quality, secrets, sharding, simhash, toxicity, whitening,
+)
 from quipu.llm.labelled import with_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -237,3 +239,8 @@ def op3_chat(spark, folder):
 )
 def op13_lexical(spark, folder):
     return lexical.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+@_query("op12_whitening")
+def op12_whitening(spark, folder):
+    return whitening.whitened(_table(spark, folder, "embeddings"))
