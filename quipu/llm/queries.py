@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quipu.llm import (
-    chat, decontamination, lexical, mixing, neighbours, pii, quality, secrets, sharding, simhash, toxicity, whitening,
+    chat, decontamination, lexical, mixing, neighbours, pii, quality, repeats, secrets, sharding, simhash, toxicity, whitening,
 )
 from quipu.llm.labelled import with_scores
 
@@ -244,3 +244,39 @@ def op13_lexical(spark, folder):
 @_query("op12_whitening")
 def op12_whitening(spark, folder):
     return whitening.whitened(_table(spark, folder, "embeddings"))
+
+
+@_query(
+    "op11_repeats",
+    """
+    WITH docs AS (
+      SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n
+      FROM documents),
+    starts AS (
+      SELECT r, i, md5(substr(h, 2 * i + 1, 400)) AS w
+      FROM (SELECT r, h, unnest(range(0, n - 199)) AS i FROM docs WHERE n >= 200)),
+    twice AS (SELECT r, i, count(*) OVER (PARTITION BY w) > 1 AS again FROM starts),
+    bytes AS (SELECT r, h, unnest(range(0, n)) AS i FROM docs),
+    covered AS (
+      SELECT b.r, b.i, substr(h, 2 * b.i + 1, 2) AS x,
+             coalesce(bool_or(again) OVER (PARTITION BY b.r ORDER BY b.i ROWS BETWEEN 199 PRECEDING AND CURRENT ROW), false) AS gone
+      FROM bytes b LEFT JOIN twice t ON b.r = t.r AND b.i = t.i),
+    edges AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY r ORDER BY i), false) AS opens FROM covered),
+    rest AS (
+      SELECT r, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE opens) AS n_spans,
+             string_agg(x, '' ORDER BY i) FILTER (WHERE NOT gone) AS kept
+      FROM edges GROUP BY r)
+    SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+           sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+    FROM docs LEFT JOIN rest USING (r)
+    """,
+)
+def op11_repeats(spark, folder):
+    found = repeats.deduplicated(_table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "repeats.n_bytes",
+        F.aggregate("repeats.spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed"),
+        F.size("repeats.spans").cast("bigint").alias("n_spans"),
+        F.sha2("repeats.kept", 256).alias("kept_sha256"),
+    )
