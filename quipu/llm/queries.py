@@ -252,15 +252,17 @@ def op12_whitening(spark, folder):
     WITH docs AS (
       SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n
       FROM documents),
-    starts AS (
-      SELECT r, i, md5(substr(h, 2 * i + 1, 400)) AS w
-      FROM (SELECT r, h, unnest(range(0, n - 199)) AS i FROM docs WHERE n >= 200)),
-    twice AS (SELECT r, i, count(*) OVER (PARTITION BY w) > 1 AS again FROM starts),
-    bytes AS (SELECT r, h, unnest(range(0, n)) AS i FROM docs),
+    pieces AS MATERIALIZED (
+      SELECT r, n, 256 * c AS base, substr(h, 512 * c + 1, 910) AS g
+      FROM (SELECT r, h, n, unnest(range(0, (n + 255) // 256)) AS c FROM docs)),
+    bytes AS MATERIALIZED (
+      SELECT r, base + k AS i, substr(g, 2 * k + 1, 2) AS x,
+             CASE WHEN base + k + 200 <= n THEN md5_number(substr(g, 2 * k + 1, 400)) END AS w
+      FROM (SELECT r, n, base, g, unnest(range(0, least(256, n - base))) AS k FROM pieces)),
+    twice AS (SELECT w FROM bytes WHERE w IS NOT NULL GROUP BY w HAVING count(*) > 1),
     covered AS (
-      SELECT b.r, b.i, substr(h, 2 * b.i + 1, 2) AS x,
-             coalesce(bool_or(again) OVER (PARTITION BY b.r ORDER BY b.i ROWS BETWEEN 199 PRECEDING AND CURRENT ROW), false) AS gone
-      FROM bytes b LEFT JOIN twice t ON b.r = t.r AND b.i = t.i),
+      SELECT r, i, x, coalesce(i - max(CASE WHEN t.w IS NOT NULL THEN i END) OVER (PARTITION BY r ORDER BY i ROWS UNBOUNDED PRECEDING) < 200, false) AS gone
+      FROM bytes b LEFT JOIN twice t USING (w)),
     edges AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY r ORDER BY i), false) AS opens FROM covered),
     rest AS (
       SELECT r, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE opens) AS n_spans,

@@ -8,7 +8,7 @@ mostly share their key; such a run is one fragment of the text, of which only ke
 and place are shuffled. A key that occurs once holds no repeat. Fragments that are equal as
 a whole are folded, and one of each form stands for all of them.
 
-What is left are keys with several forms. Their windows are dealt to shards of a bounded
+What is left are keys with several forms, and fragments in which a window may stand twice. Their windows are dealt to shards of a bounded
 number of windows, and each shard is an index family: a batch of fragments gets a suffix
 array (its windows, sorted), is merge-scanned against the levels there are for equal
 windows, on both sides, and goes in as a level of one batch; two levels of equal size merge
@@ -87,12 +87,16 @@ def window_minima(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def _cut(pieces: list[tuple[int, int, bytes]], length: int, k: int) -> tuple[np.ndarray, ...]:
-    """Fragments (text number, start in the text, windows, key, digest) of pieces (text number, start, bytes)."""
+    """Fragments (text number, start in the text, windows, key, digest, twin) of pieces (text number, start, bytes).
+
+    A fragment is a ``twin`` if its least gram stands in it more than once; in any other one all windows differ.
+    """
     raw = b"".join(p for *_, p in pieces)
     sizes = np.array([len(p) for *_, p in pieces])
     first = np.cumsum(sizes) - sizes
     last = first + sizes - length + 1  # end of the piece's windows
-    least = window_minima(gram_hashes(np.frombuffer(raw, np.uint8), k), length - k + 1)
+    hashes = gram_hashes(np.frombuffer(raw, np.uint8), k)
+    least = window_minima(hashes, length - k + 1)
     starts = np.unique(np.concatenate((np.flatnonzero(least[1:] != least[:-1]) + 1, first, last)))
     starts = starts[starts < len(least)]
     piece = np.searchsorted(first, starts, "right") - 1
@@ -109,7 +113,9 @@ def _cut(pieces: list[tuple[int, int, bytes]], length: int, k: int) -> tuple[np.
     digests = np.array([digest(view[a:b]) for a, b in zip(starts.tolist(), reach)], np.uint64)
     text = np.array([n for n, *_ in pieces])[piece]
     shift = np.array([s for _, s, _ in pieces])[piece] - first[piece]
-    return text, starts + shift, windows, least[starts].view(np.int64), digests.view(np.int64)
+    leads = np.concatenate(([0], np.cumsum(hashes[: len(least)] == least)))  # windows that begin with their least gram
+    twin = leads[starts + windows - 1] > leads[starts]
+    return text, starts + shift, windows, least[starts].view(np.int64), digests.view(np.int64), twin
 
 
 def fragments(texts: list[bytes], length: int, k: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -127,17 +133,17 @@ def fragments(texts: list[bytes], length: int, k: int) -> Iterator[tuple[np.ndar
 
 
 def _fragmented(strings: DataFrame, length: int, k: int) -> DataFrame:
-    """Rows (id, start, windows, key, digest) for strings (id, text)."""
+    """Rows (id, start, windows, key, digest, twin) for strings (id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.as_py() for t in batch.column(1)]
-            for text, start, windows, key, digest in fragments(texts, length, k):
-                columns = [batch.column(0).take(pa.array(text)), *[pa.array(a, pa.int32()) for a in (start, windows)], pa.array(key), pa.array(digest)]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "start", "windows", "key", "digest"])
+            for text, start, windows, *rest in fragments(texts, length, k):
+                columns = [batch.column(0).take(pa.array(text)), *[pa.array(a, pa.int32()) for a in (start, windows)], *map(pa.array, rest)]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "start", "windows", "key", "digest", "twin"])
 
     kind = strings.schema["id"].dataType.simpleString()
-    return strings.select("id", "text").mapInArrow(run, f"id {kind}, start int, windows int, key long, digest long")
+    return strings.select("id", "text").mapInArrow(run, f"id {kind}, start int, windows int, key long, digest long, twin boolean")
 
 
 class Family:
@@ -257,15 +263,16 @@ def repeated(
     grams = grams or gram_lengths(length)
     strings = strings.filter(F.octet_length("text") >= length)
     found = stage(_fragmented(strings, length, grams[0]), "fragments")
-    keys = found.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("key").alias("often"))
+    keys = found.groupBy("key").agg(F.count("*").alias("n"), F.max("twin").alias("twin"))
+    keys = keys.filter("n > 1 or twin").select(F.col("key").alias("often"))
     found = stage(found.join(keys, F.col("key") == F.col("often")).drop("often"), "often")
-    one = F.min(F.struct("id", "start", "windows")).alias("one")
+    one = F.min(F.struct("id", "start", "windows", "twin")).alias("one")
     forms = stage(found.groupBy("key", "digest").agg(F.count("*").alias("n"), one).select("key", "digest", "n", "one.*"), "forms")
     whole = forms.filter("n > 1").select("key", "digest", F.lit(0).alias("offset"), "windows")
 
-    # Keys with several forms, unless each form occurs twice anyway.
-    mixed = forms.groupBy("key").agg(F.sum("windows").alias("together"), F.count("*").alias("forms"), F.min("n").alias("least"))
-    mixed = mixed.filter("forms > 1 and least = 1").select(F.col("key").alias("mixed"), "together")
+    # Keys with several forms or with twins, unless each form occurs twice anyway.
+    figures = [F.sum("windows").alias("together"), F.count("*").alias("forms"), F.min("n").alias("least"), F.max("twin").alias("twins")]
+    mixed = forms.groupBy("key").agg(*figures).filter("(forms > 1 or twins) and least = 1").select(F.col("key").alias("mixed"), "together")
     apart = stage(forms.join(mixed, F.col("key") == F.col("mixed")).drop("mixed"), "mixed")
     state = apart.agg(F.sum("windows").alias("windows"), F.max("together").alias("most")).first()
     marks = whole
