@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quipu.operators.quantiles import quantiles
+from quipu.operators.quantiles import summaries
 
 
 def is_missing(df: DataFrame, column: str) -> Column:
@@ -65,14 +65,9 @@ def nunique(df: DataFrame, approximate: bool = False) -> DataFrame:
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, extremes and quartiles of numeric columns."""
     columns = columns or numeric_columns(df)
-    numbers = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
-    basic = one_row_per_column(
-        numbers, count=F.count, mean=F.avg, std=F.stddev_samp, min=F.min, max=F.max
-    )
-    quartiles = quantiles(df, columns, [0.25, 0.5, 0.75]).drop("n")
-    return basic.join(
-        quartiles.withColumnRenamed("column", "column_name"), "column_name", "left"
-    )  # both sides hold one row per column
+    found = summaries(df, columns, [0.25, 0.5, 0.75]).withColumnRenamed("column", "column_name")
+    every = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    return every.join(F.broadcast(found), "column_name", "left").withColumn("count", F.coalesce("count", F.lit(0)))
 
 
 def with_total(df: DataFrame, column: str, name: str) -> DataFrame:
