@@ -58,7 +58,7 @@ def _line(label: str, figure: str, kind: str) -> Column:
     return F.struct(F.col(label).alias("descripcion"), F.col(figure).alias("valor"), F.lit(kind).alias("tipo"))
 
 
-MOST_COLUMNS = 1000  # a wider cross table is refused; keep it in long form
+MOST_COLUMNS = 1000  # a wider cross table is refused: its maps hold any number of columns
 
 
 def _spread(df: DataFrame, column: str, values: list | None, most: int) -> tuple[Column, list[str]]:
@@ -75,13 +75,20 @@ def _spread(df: DataFrame, column: str, values: list | None, most: int) -> tuple
         return F.when(text.isin(*map(str, values)), text).otherwise(unlisted), [str(v) for v in values]
     found = df.select(text.alias("text"), F.col(column).alias("value")).distinct().limit(most + 1).collect()
     if len(found) > most:
-        raise ValueError(f"{column} has more than {most} values; use the long form")
+        raise ValueError(f"{column} has more than {most} values; use the maps of pivot_unique_maps or pivot_maps")
     if None in (known := [r["text"] for r in found]) and "null" in known:
         raise ValueError(f"{column} has both missing values and the text 'null'")
     present = sorted((r for r in found if r["text"] is not None), key=lambda r: r["value"])
     return label, [r["text"] for r in present] + ["null"] * (None in known)
 
 
+def _unique_cells(df: DataFrame, index: str, column: str, label: Column, measures: list[str]) -> DataFrame:
+    """(index, _label, measures...), one row per cell; fails if a cell is filled twice."""
+    cells = df.groupBy(index, label.alias("_label")).agg(F.count(F.lit(1)).alias("_n"), *[F.first(m).alias(m) for m in measures])
+    repeated = F.raise_error(F.format_string("two rows for one cell of %s and %s", F.lit(index), F.lit(column)))
+    return cells.select(index, "_label", *[F.when(F.col("_n") > 1, repeated).otherwise(F.col(m)).alias(m) for m in measures])
+
+
 def pivot_unique(
     df: DataFrame, index: str, column: str, measures: list[str], values: list | None = None, most: int = MOST_COLUMNS
 ) -> DataFrame:
@@ -90,13 +97,7 @@ def pivot_unique(
     The columns are the values found, or exactly ``values`` (see ``_spread``).
     """
     label, labels = _spread(df, column, values, most)
-    cells = df.groupBy(index, label.alias("_label")).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.first(m).alias(m) for m in measures]
-    )
-    repeated = F.raise_error(F.format_string("two rows for one cell of %s and %s", F.lit(index), F.lit(column)))
-    checked = cells.select(
-        index, "_label", *[F.when(F.col("_n") > 1, repeated).otherwise(F.col(m)).alias(m) for m in measures]
-    )
+    checked = _unique_cells(df, index, column, label, measures)
     firsts = [F.first(m).alias(m) for m in measures]
     return checked.groupBy(index).pivot("_label", labels).agg(*firsts)
 
@@ -114,3 +115,40 @@ def pivot_table(
     label, labels = _spread(df, column, values, most)
     wide = df.withColumn("_label", label).groupBy(index).pivot("_label", labels).agg(*aggregates)
     return wide if fill is None else wide.na.fill(fill)
+
+
+def _labelled(df: DataFrame, column: str) -> Column:
+    """The label of every row's column value; "null" for a missing one, so that text must not occur as well."""
+    text = F.col(column).cast("string")
+    clash = df.agg((F.bool_or(text.isNull()) & F.bool_or(F.coalesce(text == "null", F.lit(False)))).alias("clash")).first()["clash"]
+    if clash:
+        raise ValueError(f"{column} has both missing values and the text 'null'")
+    return F.coalesce(text, F.lit("null"))
+
+
+def _as_maps(cells: DataFrame, index: str, measures: list[str]) -> DataFrame:
+    """Cells (index, _label, measures...) folded to one row per index: a map from label to value for each measure.
+
+    A task holds the cells of one index, which are one row of the answer anyway.
+    """
+    lists = cells.groupBy(index).agg(F.array_sort(F.collect_list(F.struct("_label", *measures))).alias("_cells"))
+
+    def one(measure: str) -> Column:
+        return F.map_from_entries(F.transform("_cells", lambda c: F.struct(c["_label"], c[measure]))).alias(measure)
+
+    return lists.select(index, *[one(m) for m in measures])
+
+
+def pivot_unique_maps(df: DataFrame, index: str, column: str, measures: list[str]) -> DataFrame:
+    """``pivot_unique`` for any number of columns: one map per measure, from column label to value.
+
+    A cell that is absent from the data is absent from the map; one that is there without
+    a value is null in it. Labels stand in order.
+    """
+    return _as_maps(_unique_cells(df, index, column, _labelled(df, column), measures), index, measures)
+
+
+def pivot_maps(df: DataFrame, index: str, column: str, aggregates: dict[str, Column]) -> DataFrame:
+    """``pivot_table`` for any number of columns: one map per named aggregate, from column label to its value."""
+    cells = df.groupBy(index, _labelled(df, column).alias("_label")).agg(*[c.alias(name) for name, c in aggregates.items()])
+    return _as_maps(cells, index, list(aggregates))

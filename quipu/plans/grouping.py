@@ -223,7 +223,7 @@ _CELLS = """SELECT o_orderpriority, o_orderstatus, count(*) AS n, max(o_totalpri
 
 @query(
     "pivot_single",
-    f"SELECT * FROM (PIVOT (SELECT o_orderpriority, o_orderstatus, n FROM ({_CELLS})) ON o_orderstatus USING first(n))",
+    f"SELECT * FROM (PIVOT (SELECT o_orderpriority, o_orderstatus, n FROM ({_CELLS})) ON o_orderstatus IN ('F', 'O', 'P') USING first(n))",
 )
 def pivot_single(t: Tables):
     return grouping.pivot_unique(_cells(t), "o_orderpriority", "o_orderstatus", ["n"])
@@ -232,7 +232,7 @@ def pivot_single(t: Tables):
 @query(
     "pivot_multi_values",
     f"""SELECT * FROM (PIVOT (SELECT o_orderpriority, o_orderstatus, n, top FROM ({_CELLS}))
-        ON o_orderstatus USING first(n) AS n, first(top) AS top)""",
+        ON o_orderstatus IN ('F', 'O', 'P') USING first(n) AS n, first(top) AS top)""",
 )
 def pivot_multi_values(t: Tables):
     return grouping.pivot_unique(_cells(t), "o_orderpriority", "o_orderstatus", ["n", "top"])
@@ -241,7 +241,7 @@ def pivot_multi_values(t: Tables):
 @query(
     "pivot_table",
     f"""SELECT * FROM (PIVOT (SELECT o_orderpriority, o_orderstatus, n, "sum", mean FROM ({_CELLS}))
-        ON o_orderstatus USING coalesce(first("sum"), 0) AS "sum", coalesce(first(mean), 0) AS mean,
+        ON o_orderstatus IN ('F', 'O', 'P') USING coalesce(first("sum"), 0) AS "sum", coalesce(first(mean), 0) AS mean,
         coalesce(first(n), 0) AS "count")""",
 )
 def pivot_table(t: Tables):
@@ -259,7 +259,28 @@ def pivot_table(t: Tables):
     "pivot_rate",
     _PASSENGERS
     + """SELECT * FROM (PIVOT (SELECT pclass, sex, round(avg(survived), 6) AS rate FROM passengers GROUP BY ALL)
-         ON sex USING first(rate))""",
+         ON sex IN ('de', 'en', 'es', 'fr') USING first(rate))""",
 )
 def pivot_rate(t: Tables):
     return grouping.pivot_table(shapes.passengers(t), "pclass", "sex", [F.round(F.avg("survived"), 6)])
+
+
+@query(
+    "pivot_maps",
+    """SELECT o_orderpriority, CAST(o_custkey AS VARCHAR) AS customer, count(*) AS n, max(o_totalprice) AS top
+       FROM orders GROUP BY o_orderpriority, o_custkey""",
+)
+def pivot_maps(t: Tables):
+    """A column for every customer: far too many for a wide table, so its maps, laid out again to be compared."""
+    wide = grouping.pivot_maps(t.orders, "o_orderpriority", "o_custkey", {"n": F.count(F.lit(1)), "top": F.max("o_totalprice")})
+    laid = wide.select("o_orderpriority", "top", F.explode("n").alias("customer", "n"))
+    return laid.select("o_orderpriority", "customer", "n", F.try_element_at("top", F.col("customer")).alias("top"))
+
+
+@query(
+    "pivot_unique_maps",
+    "SELECT c_nationkey, CAST(c_custkey AS VARCHAR) AS customer, c_acctbal AS balance FROM customer",
+)
+def pivot_unique_maps(t: Tables):
+    wide = grouping.pivot_unique_maps(t.customer, "c_nationkey", "c_custkey", ["c_acctbal"])
+    return wide.select("c_nationkey", F.explode("c_acctbal").alias("customer", "balance"))
