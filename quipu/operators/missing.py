@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quipu.operators.profile import is_missing, numeric_columns
+from quipu.storage import is_short, stage
 
 _FILLS = {"mean": F.avg, "max": F.max, "min": F.min, "sum": F.sum}
 
@@ -32,9 +33,45 @@ def fill_mean(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return fill_with(df, {c: "mean" for c in columns or numeric_columns(df)})
 
 
-def duplicate_count(df: DataFrame) -> DataFrame:
-    """How many rows repeat an earlier one."""
-    repeats = df.groupBy(*df.columns).agg((F.count(F.lit(1)) - 1).alias("_extra"))
+_FIXED = {"boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz"}
+_NARROW = 3  # fixed-width columns: such a row is no wider than its digest
+
+
+def row_digest(df: DataFrame) -> Column:
+    """128 bits of a row's values, with which of them are missing."""
+    values = [F.col(f"`{c}`") for c in df.columns]
+    flags = [v.isNull() for v in values]
+    return F.struct(F.xxhash64(*values, *flags).alias("a"), F.xxhash64(F.lit(1), *flags, *values).alias("b"))
+
+
+def _repeated_digests(df: DataFrame, digest: Column | None) -> DataFrame | None:
+    """Digests that more than one row has; None if rows are narrow, or those digests many, so rows are better dealt whole."""
+    if digest is None and len(df.columns) <= _NARROW and all(kind in _FIXED for _, kind in df.dtypes):
+        return None
+    digests = df.select((row_digest(df) if digest is None else digest).alias("_again"))
+    again = stage(digests.groupBy("_again").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_again"), "repeated")
+    return F.broadcast(again) if is_short(again) else None
+
+
+def drop_duplicates(df: DataFrame, digest: Column | None = None) -> DataFrame:
+    """One of each set of equal rows.
+
+    Digests are shuffled first. Rows whose digest is their own stay where they are; only
+    the others are dealt out whole and compared by value, so a clash of digests loses nothing.
+    """
+    again = _repeated_digests(df, digest)
+    if again is None:
+        return df.dropDuplicates()
+    same = (row_digest(df) if digest is None else digest) == F.col("_again")
+    return df.join(again, same, "left_anti").unionByName(df.join(again, same, "left_semi").dropDuplicates())
+
+
+def duplicate_count(df: DataFrame, digest: Column | None = None) -> DataFrame:
+    """How many rows repeat an earlier one; found as in ``drop_duplicates``."""
+    again = _repeated_digests(df, digest)
+    if again is not None:
+        df = df.join(again, (row_digest(df) if digest is None else digest) == F.col("_again"), "left_semi")
+    repeats = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg((F.count(F.lit(1)) - 1).alias("_extra"))
     return repeats.agg(F.coalesce(F.sum("_extra"), F.lit(0)).alias("duplicates"))
 
 

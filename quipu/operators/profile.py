@@ -50,15 +50,49 @@ def null_counts(df: DataFrame) -> DataFrame:
     return one_row_per_column(df, missing=lambda c: F.count_if(is_missing(df, c)))
 
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
+
+
+def _value_slots(df: DataFrame, column: str) -> list[Column] | None:
+    """A present value as (whole number, double, text), two of them null; None for nested types."""
+    kind, value = df.schema[column].dataType, F.col(f"`{column}`")
+    none = [F.lit(None).cast("bigint"), F.lit(None).cast("double"), F.lit(None).cast("string")]
+    if isinstance(kind, _WHOLE):
+        return [value.cast("bigint"), *none[1:]]
+    if isinstance(kind, T.DateType):
+        return [F.unix_date(value).cast("bigint"), *none[1:]]
+    if isinstance(kind, T.TimestampType):
+        return [F.unix_micros(value), *none[1:]]
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return [none[0], value.cast("double"), none[2]]
+    if isinstance(kind, (T.StringType, T.DecimalType, T.TimestampNTZType)):
+        return [*none[:2], value.cast("string")]
+    return [*none[:2], F.hex(value)] if isinstance(kind, T.BinaryType) else None
+
+
 def nunique(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """Distinct present values of every column."""
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
+    """Distinct present values of every column.
+
+    All columns but nested ones are folded at once over (column number, value), by each
+    task before the one shuffle.
+    """
 
     def present(c: str) -> Column:
-        return F.when(~is_missing(df, c), F.col(c))
+        return F.when(~is_missing(df, c), F.col(f"`{c}`"))
 
-    counts = df.agg(*[distinct(present(c)).alias(c) for c in df.columns])
-    rows = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_distinct")) for c in df.columns]
+    slots = {} if approximate else {i: s for i, c in enumerate(df.columns) if (s := _value_slots(df, c))}
+    names = ("column", "whole", "real", "text")
+    cells = [
+        F.when(~is_missing(df, df.columns[i]), F.struct(*[v.alias(name) for v, name in zip([F.lit(i), *s], names)])) for i, s in slots.items()
+    ]
+    distinct = F.approx_count_distinct if approximate else F.count_distinct
+    rest = [distinct(present(c)).alias(str(i)) for i, c in enumerate(df.columns) if i not in slots]
+    parts = [df.agg(*rest)] if rest else []
+    if cells:
+        values = df.select(F.explode(F.array_compact(F.array(*cells))).alias("cell")).select("cell.*").distinct()
+        parts.append(values.agg(*[F.count_if(F.col("column") == i).alias(str(i)) for i in slots]))
+    counts = parts[0] if len(parts) == 1 else parts[0].select("*", *[parts[1].select(f"`{c}`").scalar().alias(c) for c in parts[1].columns])
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{i}`").alias("n_distinct")) for i, c in enumerate(df.columns)]
     return counts.select(F.inline(F.array(*rows)))
 
 

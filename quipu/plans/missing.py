@@ -77,7 +77,21 @@ def dup_count(t: Tables):
 
 @query("drop_dups", "SELECT DISTINCT l_partkey, l_linenumber, l_quantity FROM lineitem")
 def drop_dups(t: Tables):
-    return t.lineitem.select("l_partkey", "l_linenumber", "l_quantity").dropDuplicates()
+    return missing.drop_duplicates(t.lineitem.select("l_partkey", "l_linenumber", "l_quantity"))
+
+
+@query(
+    "dup_count_wide",
+    """SELECT (SELECT count(*) FROM documents) - (SELECT count(*) FROM
+       (SELECT DISTINCT text, lang, source, n_chars FROM documents)) AS duplicates""",
+)
+def dup_count_wide(t: Tables):
+    return missing.duplicate_count(t.documents.select("text", "lang", "source", "n_chars"))
+
+
+@query("drop_dups_wide", "SELECT DISTINCT text, lang, n_chars FROM documents")
+def drop_dups_wide(t: Tables):
+    return missing.drop_duplicates(t.documents.select("text", "lang", "n_chars"))
 
 
 @query(
