@@ -123,31 +123,79 @@ def _blocks(a: DataFrame, block: int, names: tuple[str, str]) -> DataFrame:
     return packed.select(*names, F.col("cells.at").alias(f"{names[0]}_at"), F.col("cells.v").alias(f"{names[0]}_v"))
 
 
-def multiply(a: DataFrame, b: DataFrame, block: int = 256) -> DataFrame:
-    """Matrix product by blocks.
+TILE = 4  # row blocks and column blocks of one grid cell
+INNER = 64  # inner blocks that a grid cell adds up
 
-    Cells are packed into square blocks before anything is copied, blocks that share
-    their inner side are joined, and each such pair is one small NumPy product. No task
-    holds more than two blocks and their product, and no pairs of cells are formed.
-    Cells of the product that are zero are left out.
+
+def _groups(blocks: DataFrame, name: str, size: int) -> int:
+    """How many groups of ``size`` blocks reach to the last one along ``name``."""
+    last = blocks.agg(F.max(name)).first()[0]
+    return 0 if last is None else int(last) // size + 1
+
+
+def grid_cells(a: DataFrame, b: DataFrame, block: int = 256, tile: int = TILE, inner: int = INNER) -> DataFrame:
+    """The blocks of both factors, dealt to the cells of a (row, column, inner) grid of block groups.
+
+    Rows (gi, gj, gk, bk, side, at_block, at, v): a block of the left factor is copied once
+    for each group of column blocks, one of the right factor once for each group of row
+    blocks, as counted from the shapes. A cell has at most ``2 * tile * inner`` blocks.
+    """
+    left, right = _blocks(a, block, ("bi", "bk")), _blocks(b, block, ("bk", "bj"))
+    across, down = _groups(right, "bj", tile), _groups(left, "bi", tile)
+
+    def copies(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>") if n else F.array().cast("array<bigint>"))
+
+    place = ["gi", "gj", F.floor(F.col("bk") / inner).alias("gk"), "bk"]
+    left = left.select("*", F.floor(F.col("bi") / tile).alias("gi"), copies(across).alias("gj"))
+    right = right.select("*", F.floor(F.col("bj") / tile).alias("gj"), copies(down).alias("gi"))
+    left = left.select(*place, F.lit(0).alias("side"), F.col("bi").alias("at_block"), F.col("bi_at").alias("at"), F.col("bi_v").alias("v"))
+    right = right.select(*place, F.lit(1).alias("side"), F.col("bj").alias("at_block"), F.col("bk_at").alias("at"), F.col("bk_v").alias("v"))
+    return left.unionByName(right)
+
+
+def multiply(a: DataFrame, b: DataFrame, block: int = 256, tile: int = TILE, inner: int = INNER) -> DataFrame:
+    """Matrix product by blocks on a grid.
+
+    Cells are packed into square blocks before anything is copied. A task works off the
+    cells of the grid one by one: inner block for inner block it multiplies the few left
+    and right blocks there are and adds the products up, so it holds no more than
+    ``2 * tile`` blocks and ``tile * tile`` sums. No key has more than a grid cell's
+    blocks, however long the inner side or however short. Zeros of the product are left out.
     """
-    pairs = _blocks(a, block, ("bi", "bk")).join(_blocks(b, block, ("bk2", "bj")), F.col("bk") == F.col("bk2"))
 
     def grid(at, v) -> np.ndarray:
         out = np.zeros(block * block)
         np.add.at(out, np.asarray(at), np.asarray(v))
         return out.reshape(block, block)
 
+    def written(sums: dict[tuple[int, int], np.ndarray]) -> Iterator[pd.DataFrame]:
+        for (bi, bj), out in sums.items():
+            r, c = np.nonzero(out)
+            yield pd.DataFrame({"i": bi * block + r, "j": bj * block + c, "v": out[r, c]})
+
     def product(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cell, bk, held, sums = None, None, [], {}
         for part in parts:
             for row in part.itertuples(index=False):
-                out = grid(row.bi_at, row.bi_v) @ grid(row.bk2_at, row.bk2_v)
-                r, c = np.nonzero(out)
-                yield pd.DataFrame({"i": row.bi * block + r, "j": row.bj * block + c, "v": out[r, c]})
-
-    columns = ["bi", "bj", "bi_at", "bi_v", "bk2_at", "bk2_v"]
-    parts = pairs.select(*columns).mapInPandas(product, "i bigint, j bigint, v double")
-    return parts.groupBy("i", "j").agg(F.sum("v").alias("v"))
+                if (row.gi, row.gj, row.gk) != cell:
+                    yield from written(sums)
+                    cell, bk, sums = (row.gi, row.gj, row.gk), None, {}
+                if row.bk != bk:
+                    bk, held = row.bk, []
+                if not row.side:  # left blocks come first
+                    held.append((row.at_block, grid(row.at, row.v)))
+                elif held:
+                    right = grid(row.at, row.v)
+                    for bi, left in held:
+                        key = (bi, row.at_block)
+                        sums[key] = sums[key] + left @ right if key in sums else left @ right
+        yield from written(sums)
+
+    cells = grid_cells(a, b, block, tile, inner)
+    dealt = cells.repartition("gi", "gj", "gk").sortWithinPartitions("gi", "gj", "gk", "bk", "side", "at_block")
+    parts = dealt.mapInPandas(product, "i bigint, j bigint, v double")
+    return parts.groupBy("i", "j").agg(F.sum("v").alias("v")).filter("v <> 0")
 
 
 def diagonal(a: DataFrame) -> DataFrame:

@@ -9,7 +9,10 @@ therefore worked on by many tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from quipu.storage import broadcast_if_short, stage
@@ -110,20 +113,86 @@ def with_rank(
     )
 
 
-def row_slice(df: DataFrame, start: int | None, stop: int | None, *order: Column, inclusive: bool = False) -> DataFrame:
+@dataclass(frozen=True)
+class Descending:
+    """A sort key of ``row_slice`` that falls, nulls last."""
+
+    column: Column
+
+
+BOUNDS = 64  # parts that rows are counted in
+_DRAWN = 16  # sampled rows for each of them
+SORTED_ROWS = 100_000  # that are numbered by sorting; more are narrowed down first
+
+
+def _before(df: DataFrame, order: list[Column | Descending], bound: Row) -> Column:
+    """Whether a row stands before ``bound`` (the values of the sort keys)."""
+    out = F.lit(False)
+    for i in reversed(range(len(order))):
+        falling = isinstance(order[i], Descending)
+        key, kind = F.col(f"_key{i}"), df.schema[f"_key{i}"].dataType
+        at = F.lit(bound[i]).cast(kind)
+        if bound[i] is None:  # nulls are the least: first of rising keys, last of falling ones
+            less = key.isNotNull() if falling else F.lit(False)
+        else:
+            less = F.coalesce(key > at, F.lit(False)) if falling else F.coalesce(key < at, F.lit(True))
+        out = less | (key.eqNullSafe(at) & out)
+    return out
+
+
+def _slice(df: DataFrame, order: list[Column | Descending], start: int | None, stop: int | None, most: int) -> DataFrame:
+    """Rows from place ``start`` to before ``stop`` of rows with their sort keys ``_key0``..., counted in parts between sampled bounds."""
+    keys = [f"_key{i}" for i in range(len(order))]
+    sort = [F.col(k).desc_nulls_last() if isinstance(o, Descending) else F.col(k).asc_nulls_first() for k, o in zip(keys, order)]
+    drawn = df.select(*keys).orderBy(F.rand(7)).limit(BOUNDS * _DRAWN)  # as many rows from every task, then the least of those
+    sampled = drawn.orderBy(*sort).collect()[_DRAWN - 1 :: _DRAWN][: BOUNDS - 1]
+    bounds = [b for i, b in enumerate(sampled) if not i or b != sampled[i - 1]]
+    part = reduce(lambda a, b: a + b, [F.when(_before(df, order, b), 0).otherwise(1) for b in bounds], F.lit(0))
+    counts = {r["part"]: r["n"] for r in df.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}  # BOUNDS at most
+    total = sum(counts.values())
+    first, last = ((0 if place is None else place) if place is None or place >= 0 else max(total + place, 0) for place in (start, stop))
+    last = total if stop is None else min(last, total)
+
+    def between(low: int, high: int) -> Column:
+        """Parts ``low`` to ``high``: at most two comparisons."""
+        after = ~_before(df, order, bounds[low - 1]) if low > 0 else F.lit(True)
+        return after & (_before(df, order, bounds[high]) if high < len(bounds) else F.lit(True))
+
+    whole, cut, at = [], [], 0
+    for p in range(len(bounds) + 1):
+        n = counts.get(p, 0)
+        a, b = max(first - at, 0), min(last - at, n)
+        if n and a < b:
+            (whole if (a, b) == (0, n) else cut).append((p, a, b, n))
+        at += n
+    found = []
+    if whole:  # neighbours, as parts are in order
+        found.append(df.filter(between(whole[0][0], whole[-1][0])))
+    for p, a, b, n in cut:
+        rows = df.filter(between(p, p))
+        if n > most and n < total:
+            found.append(_slice(rows, order, a, b, most))
+        else:
+            place = F.col("_position")
+            found.append(with_position(rows, *sort, name="_position").filter((place >= a) & (place < b)).drop("_position"))
+    return reduce(DataFrame.unionByName, found) if found else df.filter("false")
+
+
+def row_slice(
+    df: DataFrame, start: int | None, stop: int | None, *order: Column | Descending, inclusive: bool = False, sorted_rows: int = SORTED_ROWS
+) -> DataFrame:
     """Rows from place ``start`` to before place ``stop`` in ``order``; with ``inclusive`` the end is kept.
 
     None is the first or last row, and a negative place counts from the end, as in Python.
+    Keys rise, nulls first, unless given as ``Descending``; end them with a unique column.
+
+    Rows are counted between bounds that a sample gives. Parts inside the slice are taken as
+    they are, and only the two that its ends fall into are sorted, after they have been
+    narrowed down in the same way to ``sorted_rows`` or so; the table is not stored.
     """
-    numbered = with_position(df, *order, name="_position")
-    size = F.lit(numbered.count()) if min(start or 0, stop or 0) < 0 else None
-
-    def place(at: int) -> Column:
-        return F.lit(at) if at >= 0 else size + at
-
-    if start is not None:
-        numbered = numbered.filter(F.col("_position") >= place(start))
-    if stop is not None:
-        inside = F.col("_position") <= place(stop) if inclusive else F.col("_position") < place(stop)
-        numbered = numbered.filter(inside)
-    return numbered.drop("_position")
+    if inclusive and stop is not None:
+        stop = None if stop == -1 else stop + 1
+    names = [f"_key{i}" for i in range(len(order))]
+    keys = [(o.column if isinstance(o, Descending) else o).alias(n) for o, n in zip(order, names)]
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+    return _slice(df.select(row, *keys), list(order), start, stop, sorted_rows).select("_row.*")

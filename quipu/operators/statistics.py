@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
-from itertools import combinations_with_replacement
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -125,15 +127,75 @@ def bins_2d(
     )
 
 
+_FIGURES = ("n", "x", "y", "xx", "yy", "xy")
+_BLOCK_ROWS = 4096
+
+
+def co_moments(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows (a, n, x, y, xx, yy, xy) of arrays over all columns: for column ``a`` and each other one, the rows
+    that have both, and the sums of both values, their squares and their product over those rows.
+
+    Values are taken from the column's mean first, so the sums keep their digits. Each task lays
+    its rows out as dense blocks and adds up four matrix products per block; the tasks' rows for a column
+    are added by the task that the column is dealt to.
+    """
+    width = len(columns)
+    numbers = df.select(F.array(*[_present(f"`{c}`") for c in columns]).alias("x"))
+    means = df.agg(F.array(*[F.avg(_present(f"`{c}`")) for c in columns])).first()[0]
+    mean = F.array(*[F.lit(m or 0.0) for m in means])
+    centred = numbers.select(F.zip_with("x", mean, lambda x, m: x - m).alias("x"))
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = None
+        for batch in batches:
+            for at in range(0, batch.num_rows, _BLOCK_ROWS):
+                values = batch.column(0).slice(at, _BLOCK_ROWS).flatten()
+                there = np.asarray(values.is_valid()).reshape(-1, width).astype(float)
+                z = values.fill_null(0.0).to_numpy(zero_copy_only=False).reshape(-1, width)
+                square, part = (z * z).T @ there, z.T @ there
+                found = (there.T @ there, part, part.T, square, square.T, z.T @ z)
+                sums = found if sums is None else [s + f for s, f in zip(sums, found)]
+        if sums is not None:
+            lists = [pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(s).ravel()), width).cast(pa.list_(pa.float64())) for s in sums]
+            yield pa.RecordBatch.from_arrays([pa.array(range(width), pa.int32()), *lists], names=["a", *_FIGURES])
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows in order of ``a``, one result at a time."""
+        column, sums = None, None
+
+        def row():
+            return pa.RecordBatch.from_arrays([pa.array([column], pa.int32()), *[pa.array([s.tolist()]) for s in sums]], names=["a", *_FIGURES])
+
+        for batch in batches:
+            lists = [batch.column(i).flatten().to_numpy(zero_copy_only=False).reshape(-1, width) for i in range(1, 7)]
+            for at, a in enumerate(batch.column(0).to_pylist()):
+                found = [x[at] for x in lists]
+                if a == column:
+                    sums = [s + f for s, f in zip(sums, found)]
+                    continue
+                if column is not None:
+                    yield row()
+                column, sums = a, found
+        if column is not None:
+            yield row()
+
+    schema = "a int, " + ", ".join(f"{f} array<double>" for f in _FIGURES)
+    parts = centred.mapInArrow(blocks, schema)
+    return parts.repartition("a").sortWithinPartitions("a").mapInArrow(merged, schema)
+
+
 def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of every pair, as (a, b, r), in one aggregate.
+    """Pearson correlation of every pair, as (a, b, r), in one scan for any number of columns.
 
-    Rows with a missing value are left out of the pairs they would belong to.
+    Rows with a missing value are left out of the pairs they would belong to. ``r`` is null
+    for fewer than two rows and where one of the columns does not vary over them.
     """
-    rows = []
-    for a, b in combinations_with_replacement(columns, 2):
-        r = F.corr(_present(a), _present(b))
-        rows.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r")))
-        if a != b:
-            rows.append(F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), r.alias("r")))
-    return df.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows"))
+    names = F.array(*[F.lit(c) for c in columns])
+    laid = co_moments(df, columns).select("a", F.posexplode(F.arrays_zip(*_FIGURES)).alias("b", "s"))
+    n = F.col("s.n")
+    both = F.col("s.xy") - F.col("s.x") * F.col("s.y") / n
+    own = F.col("s.xx") - F.col("s.x") * F.col("s.x") / n, F.col("s.yy") - F.col("s.y") * F.col("s.y") / n
+    # A column that does not vary leaves nothing but rounding of its squares.
+    varies = (own[0] > F.col("s.xx") * 1e-14) & (own[1] > F.col("s.yy") * 1e-14)
+    r = F.when((n > 1) & varies, F.least(F.lit(1.0), F.greatest(F.lit(-1.0), both / F.sqrt(own[0] * own[1]))))
+    return laid.select(F.get(names, F.col("a")).alias("a"), F.get(names, F.col("b")).alias("b"), F.when(F.col("a") == F.col("b"), r * 0 + 1).otherwise(r).alias("r"))
