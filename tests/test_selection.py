@@ -234,3 +234,33 @@ def test_a_long_inner_side_is_shared(spark):
 def test_product_with_nothing(spark):
     a = as_cells(spark, np.ones((2, 2)))
     assert matrix.multiply(a, a.filter("false")).count() == 0 and matrix.multiply(a.filter("false"), a).count() == 0
+
+
+# Density curves
+
+
+@pytest.mark.parametrize("kind", ["normal", "heavy", "two"])
+def test_density_equals_the_sum_over_all_values(spark, kind):
+    rng = np.random.default_rng(7)
+    x = {"normal": rng.normal(50, 3, 5000), "heavy": rng.standard_cauchy(3000), "two": np.repeat([1.0, 2.0], [5, 900])}[kind]
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,), (NAN,)], "v double").repartition(6)
+    got = statistics.density(df, "v", points=77).orderBy("point").collect()
+    width = x.std(ddof=1) * len(x) ** -0.2
+    at = np.linspace(x.min(), x.max(), 77)
+    want = np.exp(-0.5 * ((at[:, None] - x[None, :]) / width) ** 2).sum(axis=1) / (len(x) * width * math.sqrt(2 * math.pi))
+    assert [r["point"] for r in got] == list(range(77))
+    assert np.allclose([r["x"] for r in got], at)
+    assert np.abs(np.array([r["density"] for r in got]) - want).max() < 1e-14 * len(x) * want.max()
+    assert np.abs(np.array([r["density"] for r in got]) - want).max() < 1e-12 * want.max()
+
+
+def test_density_folds_before_it_meets_the_points(spark):
+    df = spark.range(0, 50_000, 1, 8).select((F.col("id") / 7.0).alias("v"))
+    text = plan(statistics.density(df, "v", points=200))
+    # Upwards: the fold to cells, then the points, then their sums.
+    assert text.rindex("sum((cast(_n") > text.index("Generate") if "sum((cast(_n" in text else text.index("Generate") < text.rindex("HashAggregate")
+
+
+def test_density_without_spread(spark):
+    same = spark.createDataFrame([(1.0,), (1.0,)], "v double")
+    assert statistics.density(same, "v").collect() == [] and statistics.density(same.filter("false"), "v").collect() == []
