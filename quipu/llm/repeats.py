@@ -34,8 +34,8 @@ from quipu.llm.common import packed
 from quipu.storage import stage
 
 LENGTH = 200
-SHARD_WINDOWS = 200_000  # of one index family, about
-HOT_WINDOWS = 100_000  # of one key; beyond that it is cut anew
+SHARD_WINDOWS = 50_000  # of one index family, about
+HOT_WINDOWS = 50_000  # of one key; beyond that it is cut anew
 BATCH_WINDOWS = 16_384  # that get a suffix array at once
 _RUN = 256  # windows of a fragment, at most
 _BLOCK = 1 << 18  # bytes hashed at once
@@ -44,8 +44,8 @@ _MIX = 0xBF58476D1CE4E5B9
 
 
 def gram_lengths(length: int) -> list[int]:
-    """Lengths of the k-grams that deal out windows: about a sixth, four sevenths, and all of a window."""
-    return sorted({max(1, length * 4 // 25), max(1, length * 14 // 25), length})
+    """Lengths of the k-grams that deal out windows: from about a sixth of a window to all of it."""
+    return sorted({max(1, length * part // 25) for part in (4, 14, 21, 25)})
 
 
 def _bits(seed: int) -> np.ndarray:
@@ -210,9 +210,9 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _compared(length: int, batch_windows: int):
-    """Sorted rows (shard, key, digest, piece) to rows (key, digest, offset, windows) of their repeated windows."""
+    """Sorted rows (shard, key, digest, n, piece) to rows (key, digest, start, windows): repeated windows of forms that occur once."""
 
-    def marked(keys: list[tuple[int, int]], texts: list[bytes]) -> pa.RecordBatch:
+    def marked(keys: list[tuple[int, int, int]], texts: list[bytes]) -> pa.RecordBatch:
         family, batch, size = Family(length), [], 0
         for text in texts:
             batch.append(text)
@@ -223,24 +223,25 @@ def _compared(length: int, batch_windows: int):
         if batch:
             family.add(batch)
         out, at = [], 0
-        for (key, digest), text in zip(keys, texts):
-            n = len(text) - length + 1
-            out += [(key, digest, a, b) for a, b in zip(*(x.tolist() for x in runs(family.repeated[at : at + n])))]
-            at += n
+        for (key, digest, n), text in zip(keys, texts):
+            end = at + len(text) - length + 1
+            if n == 1:  # the others are repeated as a whole
+                out += [(key, digest, a, b) for a, b in zip(*(x.tolist() for x in runs(family.repeated[at:end])))]
+            at = end
         columns = list(zip(*out)) or [[], [], [], []]
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["key", "digest", "offset", "windows"])
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["key", "digest", "start", "windows"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, keys, texts = None, [], []
         for batch in batches:
-            for number, key, digest, piece in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for number, key, digest, n, piece in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 if number != shard:
                     if texts:
                         yield marked(keys, texts)
                     shard, keys, texts = number, [], []
-                if not keys or keys[-1] != (key, digest):  # repeated rows of the table bring a form twice
-                    keys.append((key, digest))
+                if not keys or keys[-1] != (key, digest, n):  # repeated rows of the table bring a form twice
+                    keys.append((key, digest, n))
                     texts.append(piece)
         if texts:
             yield marked(keys, texts)
@@ -256,9 +257,10 @@ def repeated(
     hot_windows: int = HOT_WINDOWS,
     batch_windows: int = BATCH_WINDOWS,
 ) -> DataFrame:
-    """Rows (id, start, windows): runs of windows of ``strings`` (id, text as bytes) that occur elsewhere too.
+    """Rows (id, found): runs (start, windows) of windows of ``strings`` (id, text as bytes) that occur elsewhere too.
 
-    Rows with one id must be copies. Strings shorter than ``length`` have no windows.
+    A string has a row for each of its fragments that hold some. Rows with one id must be
+    copies. Strings shorter than ``length`` have no windows.
     """
     grams = grams or gram_lengths(length)
     strings = strings.filter(F.octet_length("text") >= length)
@@ -268,7 +270,7 @@ def repeated(
     found = stage(found.join(keys, F.col("key") == F.col("often")).drop("often"), "often")
     one = F.min(F.struct("id", "start", "windows", "twin")).alias("one")
     forms = stage(found.groupBy("key", "digest").agg(F.count("*").alias("n"), one).select("key", "digest", "n", "one.*"), "forms")
-    whole = forms.filter("n > 1").select("key", "digest", F.lit(0).alias("offset"), "windows")
+    whole = forms.filter("n > 1").select("key", "digest", F.array(F.struct(F.lit(0).alias("start"), "windows")).alias("runs"))
 
     # Keys with several forms or with twins, unless each form occurs twice anyway.
     figures = [F.sum("windows").alias("together"), F.count("*").alias("forms"), F.min("n").alias("least"), F.max("twin").alias("twins")]
@@ -277,24 +279,42 @@ def repeated(
     state = apart.agg(F.sum("windows").alias("windows"), F.max("together").alias("most")).first()
     marks = whole
     if state["windows"]:
-        places = apart.groupBy("id").agg(F.collect_list(F.struct("key", "digest", "start", "windows", "together")).alias("places"))
+        places = apart.groupBy("id").agg(F.collect_list(F.struct("key", "digest", "n", "start", "windows", "together")).alias("places"))
         texts = strings.select(F.col("id").alias("_id"), "text")
         pieces = places.join(texts, F.col("id") == F.col("_id")).select("text", F.inline("places"))
-        pieces = pieces.select("key", "digest", "together", F.expr(f"substring(text, start + 1, windows + {length - 1})").alias("piece"))
+        pieces = pieces.select("key", "digest", "n", "together", F.expr(f"substring(text, start + 1, windows + {length - 1})").alias("piece"))
         pieces = stage(pieces, "pieces")
         few = pieces if len(grams) == 1 else pieces.filter(F.col("together") <= hot_windows)
         shards = max(1, -(-state["windows"] // shard_windows))
-        dealt = few.select(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"), "key", "digest", "piece")
+        dealt = few.select(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"), "key", "digest", "n", "piece")
         dealt = dealt.repartition("shard").sortWithinPartitions("shard", "key", "digest")
-        marks = marks.unionByName(dealt.mapInArrow(_compared(length, batch_windows), "key long, digest long, offset int, windows int"))
+        compared = dealt.mapInArrow(_compared(length, batch_windows), "key long, digest long, start int, windows int")
+        marks = marks.unionByName(compared.groupBy("key", "digest").agg(F.collect_list(F.struct("start", "windows")).alias("runs")))
         if len(grams) > 1 and state["most"] > hot_windows:
             hot = pieces.filter(F.col("together") > hot_windows).dropDuplicates(["key", "digest"])
-            hot = stage(hot.select(F.struct("key", "digest").alias("id"), F.col("piece").alias("text")), "hot")
-            finer = repeated(hot, length, grams[1:], shard_windows, hot_windows, batch_windows)
-            marks = marks.unionByName(finer.select("id.key", "id.digest", F.col("start").alias("offset"), "windows"))
-    marks = stage(marks.select(F.col("key").alias("_key"), F.col("digest").alias("_digest"), "offset", F.col("windows").alias("many")), "marks")
+            hot = stage(hot.select(F.struct("key", "digest", "n").alias("id"), F.col("piece").alias("text")), "hot")
+            finer = repeated(hot, length, grams[1:], shard_windows, hot_windows, batch_windows).filter("id.n = 1")
+            finer = finer.groupBy("id").agg(F.flatten(F.collect_list("found")).alias("found"))
+            marks = marks.unionByName(finer.select("id.key", "id.digest", _joined(F.col("found")).alias("runs")))
+    # One row per form: repeated as a whole, compared, or cut anew.
+    marks = stage(marks.select(F.col("key").alias("_key"), F.col("digest").alias("_digest"), "runs"), "marks")
     met = found.join(marks, (F.col("key") == F.col("_key")) & (F.col("digest") == F.col("_digest")))
-    return met.select("id", (F.col("start") + F.col("offset")).alias("start"), F.col("many").alias("windows"))
+    shifted = F.transform("runs", lambda r: F.struct((F.col("start") + r["start"]).alias("start"), r["windows"].alias("windows")))
+    return met.select("id", shifted.alias("found"))
+
+
+def _joined(marks: Column) -> Column:
+    """Runs (start, windows) of one fragment, in order and with neighbours joined; a fragment has few windows."""
+    empty = F.array().cast("array<struct<start:int,windows:int>>")
+
+    def add(out: Column, mark: Column) -> Column:
+        last = F.get(out, F.size(out) - 1)
+        far = F.greatest(last["start"] + last["windows"], mark["start"] + mark["windows"])
+        longer = F.struct(last["start"].alias("start"), (far - last["start"]).alias("windows"))
+        joins = F.coalesce(last["start"] + last["windows"] >= mark["start"], F.lit(False))
+        return F.when(joins, F.concat(F.slice(out, 1, F.size(out) - 1), F.array(longer))).otherwise(F.concat(out, F.array(mark)))
+
+    return F.aggregate(F.array_sort(marks), empty, add)
 
 
 RESULT = "struct<spans:array<struct<start:int,end:int>>,kept:binary>"
@@ -343,7 +363,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     name = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null")).cast("binary")
     marked = docs.select(packed(docs.select(*[F.col(f"`{c}`") for c in columns])), text.alias("text"), F.unhex(F.md5(F.concat(name, F.lit(b":"), text))).alias("id"))
     found = repeated(marked.select("id", "text"), length, **options)
-    found = found.groupBy("id").agg(F.collect_set(F.struct("start", "windows")).alias("found")).withColumnRenamed("id", "_id")
+    # Repeated rows share an id; a set holds what they find once.
+    found = found.groupBy("id").agg(F.flatten(F.collect_set("found")).alias("found")).withColumnRenamed("id", "_id")
     # The list grows with the texts, so it is merged at every size, never broadcast.
     joined = marked.join(found.hint("merge"), F.col("id") == F.col("_id"), "left")
     cut = _without(F.when(F.col("found").isNotNull(), F.col("text")), F.col("found"), length)
