@@ -38,7 +38,8 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     "op2_mixing",
     """
     WITH sized AS (
-      SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size
+      SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+             md5(coalesce(text, '')) AS digest
       FROM documents),
     src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
     weighed AS (
@@ -56,16 +57,33 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     aimed AS (
       SELECT source, source_size, CASE WHEN weight * level > most THEN CAST(most AS DOUBLE) ELSE weight * level END AS target
       FROM weighed, chosen),
+    slotted AS (
+      SELECT *, CAST(floor(target) AS BIGINT) AS quota, (CAST(floor(target) AS BIGINT) + 1023) // 1024 AS slots,
+             row_number() OVER (ORDER BY source NULLS LAST) AS s
+      FROM aimed),
+    ranges AS (
+      SELECT s, slots, CAST(coalesce(sum(slots) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start,
+             len(ltrim(bin(CAST(greatest(sum(slots) OVER () - 1, 0) AS BIGINT)), '0')) AS bits
+      FROM slotted),
+    turned AS (
+      SELECT s, CAST(coalesce(list_sum([((point >> i) & 1) << (bits - 1 - i) FOR i IN range(0, bits)]), 0) AS BIGINT) AS slot
+      FROM (SELECT s, bits, unnest(range(start, start + slots)) AS point FROM ranges)),
+    schedule AS (SELECT s, slot, row_number() OVER (PARTITION BY s ORDER BY slot) - 1 AS block FROM turned),
     laid AS (
-      SELECT s.doc_id, s.size, a.source_size, a.target, CAST(floor(a.target) AS BIGINT) AS quota,
-             coalesce(sum(s.size) OVER (PARTITION BY s.source
-               ORDER BY md5('mix:' || coalesce(CAST(s.doc_id AS VARCHAR), 'null')), s.doc_id, s.size
-               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
-      FROM sized s JOIN aimed a ON s.source IS NOT DISTINCT FROM a.source)
-    SELECT doc_id, size, source_size, target,
-           CAST(CASE WHEN source_size = 0 THEN 0
-                ELSE size * (quota // source_size) + greatest(0, least(size, quota % source_size - place)) END AS BIGINT) AS taken
-    FROM laid
+      SELECT row_number() OVER () AS r, d.doc_id, d.size, a.source_size, a.target, a.quota, a.s,
+             CAST(coalesce(sum(d.size) OVER (PARTITION BY a.s
+               ORDER BY md5('mix:' || coalesce(CAST(d.doc_id AS VARCHAR), 'null')), d.doc_id, d.size, d.digest
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS place
+      FROM sized d JOIN slotted a ON d.source IS NOT DISTINCT FROM a.source),
+    passed AS (
+      SELECT r, s, p, p * source_size + place AS first, least(p * source_size + place + size, quota) AS past
+      FROM (SELECT *, unnest(range(0, 3)) AS p FROM laid WHERE size > 0) WHERE p * source_size + place < quota),
+    takes AS (
+      SELECT r, CAST(sum(past - first) AS BIGINT) AS taken, min_by(slot, p) AS first_slot,
+             CAST(sum((past - 1) // 1024 - first // 1024 + 1) AS BIGINT) AS n_slots
+      FROM passed JOIN schedule ON passed.s = schedule.s AND passed.first // 1024 = schedule.block GROUP BY r)
+    SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, first_slot, coalesce(n_slots, 0) AS n_slots
+    FROM laid LEFT JOIN takes USING (r)
     """,
 )
 def op2_mixing(spark, folder):

@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import defaultdict
 
 import pytest
@@ -83,19 +84,67 @@ def test_mixed_rows_are_whole_or_first_words(spark):
     rows, table = docs(spark)
     table = table.filter("doc_id != 3")
     mix = mixing.Mix(table)
-    taken = {(r["doc_id"], r["size"]): r["taken"] for r in mix.per_document().collect()}
+    taken = defaultdict(int)
+    for r in mix.per_document().collect():
+        taken[r["doc_id"]] += r["taken"]
     out = mixing.mixed(table)
     assert out.columns == table.columns
     texts = {(r[0], len((r[1] or "").split())): r[1] for r in rows}
-    got, copies = defaultdict(int), defaultdict(int)
+    got = defaultdict(int)
     for r in out.collect():
         whole = next(t for (i, _), t in texts.items() if i == r["doc_id"])
         assert whole.startswith(r["text"]) and r["n_chars"] == len(r["text"])
         got[r["doc_id"]] += len(r["text"].split())
-    for r in rows:
-        copies[r[0]] += r[0] != 3
-    for (i, _), n in taken.items():
-        assert got[i] == n * copies[i]
+    assert {i: n for i, n in taken.items() if n} == dict(got)
+
+
+@pytest.mark.parametrize("doc_id, copies, size, others, target", [(7, 10, 3, 30, 15), (None, 1000, 1, 600, 266)])
+def test_repeated_rows_lose_no_words(spark, doc_id, copies, size, others, target):
+    """Ten copies of three words with a target of 15; a thousand rows without an id and with a target of 266.7."""
+    rows = [(doc_id, words(size), "a", 1, "x", 5)] * copies
+    if doc_id:
+        rows += [(100 + i, words(3), "b", 1, "x", 5) for i in range(5)]
+    else:
+        rows = [(None, f"w{i % 50}", "a", i, "x", 5) for i in range(1000)] + [(1, words(600), "b", 1, "x", 5)]
+    table = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    mix = mixing.Mix(table)
+    quota = {r["source"]: r["quota"] for r in mix.sources.collect()}["a"]
+    found = [r["taken"] for r in mix.per_document().collect() if r["size"] == size]
+    assert len(found) >= copies and max(found) <= 3 * size
+    mine = mix.taken().filter("source = 'a'").agg(F.sum("taken")).first()[0]
+    assert mine == quota
+    assert quota == target if doc_id else quota >= target
+    out = mixing.mixed(table).filter("source = 'a'").collect()
+    assert sum(len(r["text"].split()) for r in out) == quota
+
+
+def test_any_prefix_is_close_to_the_weights(spark):
+    rng = random.Random(2)
+    rows = [(i, words(rng.randrange(1, 60)), rng.choice("aaab") + rng.choice("xy"), 1, "x", 5) for i in range(1500)]
+    table = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    mix = mixing.Mix(table, block=64)
+    quotas = {r["source"]: r["quota"] for r in mix.sources.collect()}
+    out = mixing.mixed(table, slot_col="slot", block=64).collect()
+    assert [r["slot"] for r in out] == sorted(r["slot"] for r in out)  # put out in order
+    seen, total = defaultdict(int), 0
+    whole = sum(quotas.values())
+    for r in out:
+        n = len(r["text"].split())
+        seen[r["source"]] += n
+        total += n
+        for source, quota in quotas.items():
+            assert abs(seen[source] - total * quota / whole) <= 64 * 4 + 120
+    assert dict(seen) == quotas
+    plain = [tuple(r) for r in mixing.mixed(table, block=64).collect()]
+    assert plain == [tuple(r)[:-1] for r in out] and mixing.mixed(table, block=64).columns == table.columns
+
+
+def test_sources_without_end_are_levelled_at_once(spark):
+    sizes = {f"s{i:03}": (i * 37) % 101 + 1 for i in range(300)} | {None: 5000}
+    table = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {r["source"]: r["target"] for r in mixing.targets(table.repartition(5)).collect()}
+    want = plain_targets(sizes)
+    assert set(got) == set(want) and all(got[s] == pytest.approx(want[s]) for s in want)
 
 
 def test_partial_text_keeps_its_blanks(spark):
@@ -109,6 +158,6 @@ def test_empty_and_wordless(spark):
     assert mixing.Mix(empty).per_document().count() == 0 and mixing.mixed(empty).count() == 0
     blank = spark.createDataFrame([(1, None, None, 1, None, None)], SCHEMA)
     row = mixing.Mix(blank).per_document().collect()
-    assert [tuple(r) for r in row] == [(1, 0, 0, 0.0, 0)]
+    assert [tuple(r) for r in row] == [(1, 0, 0, 0.0, 0, None, 0)]
     key = spark.range(1).select(mixing.shuffle_key(F.lit(5))).first()[0]
     assert key == hashlib.md5(b"mix:5").hexdigest()
