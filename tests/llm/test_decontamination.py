@@ -42,25 +42,35 @@ def samples():
     return items, docs
 
 
-@pytest.mark.parametrize("size", [dec.AUTOMATON_BYTES, 0])
-def test_both_ways_against_brute_force(spark, size):
+@pytest.mark.parametrize("size", [dec.PART_WINDOWS, 40])
+def test_one_automaton_or_many_against_brute_force(spark, size):
     items, docs = samples()
-    if size == 0:
-        docs = docs[:-1]
     rows = [(i % 40 if i else None, t, "c", 1) for i, t in enumerate(docs)]
     bench = spark.createDataFrame([(i, t, "clash") for i, t in items], ITEMS)
-    found = dec.contamination(spark.createDataFrame(rows, DOCS).drop("contamination"), bench, automaton_bytes=size)
+    found = dec.contamination(spark.createDataFrame(rows, DOCS).drop("contamination"), bench, part_windows=size)
     got = [(r["doc_id"], r["n_hit"], *[r["contamination"][k] for k in ("n_words", "n_hit", "items")]) for r in found.collect()]
     expected = [(i, 1, *plain(t, items)) for (i, t, *_) in rows]
     assert sorted(map(str, got)) == sorted(map(str, expected))
+    for r in dec.contamination(spark.createDataFrame(rows, DOCS), bench, part_windows=size).collect():
+        words = [dec.words_of(r["text"][s["start"] : s["end"]]) for s in r["contamination"]["spans"]]
+        assert sum(map(len, words)) == r["contamination"]["n_hit"]
+        assert all(a["end"] < b["start"] for a, b in zip(r["contamination"]["spans"], r["contamination"]["spans"][1:]))
+
+
+def test_columns_of_any_name_come_back(spark):
+    docs = spark.createDataFrame([(1, "a b c d", 7, 8, "r")], "doc_id long, text string, _row int, id int, `row.x` string")
+    bench = spark.createDataFrame([(i, f"a b c d {i}" if i else "c d", None) for i in range(30)], ITEMS)
+    for size in (1000, 4):
+        out = dec.contamination(docs, bench, part_windows=size)
+        assert out.columns == [*docs.columns, "contamination"] and out.first()["_row"] == 7 and out.first()["contamination"]["n_hit"] == 2
 
 
 def test_spans_point_into_the_original():
-    scanner = dec.Scanner([("1", "Die ÄPFEL sind (rot)")], 10)
+    scanner = dec.Scanner([(w, "1") for w in dec.windows_of(dec.words_of("Die ÄPFEL sind (rot)"))])
     text = "x DIE -- äPFEL sind rot!"
-    assert scanner.scan(text)["n_hit"] == 0  # only A-Z is lowered: Ä and ä differ
+    assert scanner.scan(text)["runs"] == []  # only A-Z is lowered: Ä and ä differ
     text = "x DIE -- ÄPFEL SIND, rot! y die ÄPFEL sind rot"
-    spans = scanner.scan(text)["spans"]
+    spans = scanner.scan(text)["runs"]
     assert [text[s["start"] : s["end"]] for s in spans] == ["DIE -- ÄPFEL SIND, rot", "die ÄPFEL sind rot"]
 
 
