@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quipu.storage import stage
+
 FOLDS = 5
+_PARTS = 16  # tasks that a training table is worked on by
 
 
 def held_out(doc_id: Column) -> Column:
@@ -14,14 +16,13 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def training_rows(
-    docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_chars: int
-) -> tuple[pd.DataFrame, float | None]:
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> tuple[DataFrame, float | None]:
     """A bounded sample (doc_id, text, label) of the labelled rows outside the held-out fold, and the share of label 1.
 
     At most ``per_class`` ids of each label are chosen, by a digest of the id, from the
-    labels alone; then only their texts are fetched, each cut after ``max_chars``. Labels
-    other than 0 and 1, ids without a text and ids with both labels are left out.
+    labels alone; then only their texts are fetched, whole, into a table of the shared folder. Labels
+    other than 0 and 1, ids without a text and ids with both labels are left out; of several texts
+    with one id the least counts.
     """
     known = labels.select("doc_id", F.col(label).alias("label")).filter("label in (0, 1) and doc_id is not null")
     known = known.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("most")).filter("label = most")
@@ -32,9 +33,9 @@ def training_rows(
         part = known.filter(F.col("label") == value).orderBy("turn", "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
     chosen = F.broadcast(chosen.select(F.col("doc_id").alias("_id"), "label"))  # at most 2 * per_class rows
-    texts = docs.select("doc_id", F.substring("text", 1, max_chars).alias("text")).filter("text is not null")
+    texts = docs.select("doc_id", "text").filter("text is not null")
     found = texts.join(chosen, texts["doc_id"] == chosen["_id"]).groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
-    return found.toPandas().sort_values("doc_id", ignore_index=True), share
+    return stage(found.repartition(_PARTS, "doc_id"), "training"), share
 
 
 def with_scores(docs: DataFrame, score: Column, threshold: float) -> DataFrame:

@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from quipu.llm.labelled import training_rows
 
 PER_CLASS = 4_000  # labelled rows of each class that are fitted on, at most
-MAX_CHARS = 20_000  # of each of them
 BINS, GRID, PAIRS = 32, 8, 6
 ROUNDS, PAIR_ROUNDS, RATE = 120, 40, 0.1
 
@@ -180,7 +179,23 @@ def quality(text: Column, model: Model | None) -> Column:
     return score(text)
 
 
-def trained(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> Model | None:
-    """A model of the labelled rows outside the held-out fold, within the stated bounds."""
-    rows, share = training_rows(docs, labels, "quality", per_class, max_chars)
-    return fit(matrix(rows["text"].tolist()), rows["label"].to_numpy(), share)
+def _features(text: Column) -> Column:
+    @F.arrow_udf("array<double>")
+    def build(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            yield pa.array([features(t.as_py()) for t in batch], pa.list_(pa.float64()))
+
+    return build(text)
+
+
+def trained(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model | None:
+    """A model of the labelled rows outside the held-out fold, ``per_class`` of each label at most.
+
+    Features are taken of whole texts, in tasks; only they come to the fit. Null ids and
+    texts and doubtful labels are left out (see ``training_rows``), empty texts count as rows of
+    zeros, repeated rows once, and no columns but doc_id, text and the label are read.
+    """
+    rows, share = training_rows(docs, labels, "quality", per_class)
+    found = rows.select("doc_id", "label", _features(F.col("text")).alias("x")).toPandas().sort_values("doc_id")
+    x = np.array(found["x"].tolist(), float).reshape(len(found), len(FEATURES))
+    return fit(x, found["label"].to_numpy(), share)

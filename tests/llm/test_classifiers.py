@@ -43,11 +43,82 @@ def test_fold_is_crc32_of_the_id_as_text(spark):
 
 def test_training_rows_are_bounded_and_outside_the_fold(tables):
     docs, labels, *_ = tables
-    rows, share = labelled.training_rows(docs, labels, "toxic", 30, 50)
-    assert 0 < share < 1 and len(rows) <= 60 and rows["doc_id"].is_unique and rows["text"].str.len().max() <= 50
+    table, share = labelled.training_rows(docs, labels, "toxic", 30)
+    rows = table.toPandas()
+    assert 0 < share < 1 and len(rows) <= 60 and rows["doc_id"].is_unique
     assert not any(zlib.crc32(str(i).encode()) % 5 == 0 for i in rows["doc_id"])
-    whole, _ = labelled.training_rows(docs, labels, "toxic", 10**6, 50)
+    whole = labelled.training_rows(docs, labels, "toxic", 10**6)[0].toPandas()
     assert 6 not in set(whole["doc_id"]) and 1001 not in set(whole["doc_id"]) and 9000 not in set(whole["doc_id"])
+    texts = {r["doc_id"]: r["text"] for r in docs.filter("doc_id is not null").collect()}
+    assert all(t == texts[i] for i, t in zip(whole["doc_id"], whole["text"]))  # never cut
+
+
+def plain_toxicity(text, model):
+    """The score window by window, with nothing of the operator's but its model and compressor settings."""
+    flat = (" " + " ".join((text or "").lower().split()) + " ").encode()
+    gains, at = [], 0
+    while at < len(flat) - 1:
+        end = min(at + 64, len(flat) - 1)
+        blank = flat.find(b" ", end, end + 64)
+        end = blank if blank >= 0 else min(end + 64, len(flat) - 1)
+        piece = flat[at : end + 1]
+        gains.append(len(toxicity._compressor(model.ordinary).compress(piece)) - len(toxicity._compressor(model.toxic).compress(piece)))
+        at = end
+    up = sorted([g for g in gains if g > 0], reverse=True) + [0, 0]
+    x = [1.0, min(up[0], 12), min(up[1], 12), np.log(1 + sum(up)), np.log(1 + sum(g > 0 for g in gains)), np.log(1 + len(gains))]
+    return 1 / (1 + np.exp(-sum(w * v for w, v in zip(model.weights, x))))
+
+
+def test_toxicity_window_by_window(tables):
+    docs, labels, *_ = tables
+    model = toxicity.trained(docs, labels)
+    some = docs.filter("doc_id < 40 or doc_id > 1000 or doc_id is null").filter("doc_id is null or doc_id <> 1004").select("text")
+    for r in some.select("text", toxicity.toxicity(F.col("text"), model).alias("s")).collect():
+        assert r["s"] == pytest.approx(plain_toxicity(r["text"], model), abs=1e-9)
+
+
+def test_toxic_words_far_into_a_text_are_learnt(spark):
+    """All evidence stands behind tens of thousands of plain characters."""
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice(["ba", "ko", "mi", "tur", "len", "sa"]) for _ in range(3)) for _ in range(200)]
+    docs, labels = [], []
+    for i in range(120):
+        words = [rng.choice(vocabulary) for _ in range(3000)]
+        docs.append((i, " ".join(words + ["grobzak", "vixnurf"] * 3 * (i % 2)), "", 1, ""))
+        labels.append((i, 1, i % 2, ""))
+    model = toxicity.trained(spark.createDataFrame(docs, DOCS).repartition(8), spark.createDataFrame(labels, LABELS))
+    assert b"grobzak" in model.toxic and b"grobzak" not in model.ordinary
+
+
+def plain_quality_features(text):
+    words = (text or "").split()
+    if not words:
+        return [0.0] * 14
+    n, chars = len(words), sum(len(w) for w in words)
+    lines = [x for x in text.split("\n") if x.strip()]
+    last = [w[-1] for w in words]
+    return [
+        np.log(1 + n), chars / n, sum(w.isupper() for w in words) / n,
+        sum(not c.isalnum() and c not in ".,;:?'\"()-" for c in last) / n, sum(w == "|" for w in words) / n,
+        sum(a == b for a, b in zip(words, words[1:])) / n, max(words.count(w) for w in set(words)) / n,
+        sum(len(set(words[i : i + 200])) for i in range(0, n, 200)) / n, len(set(lines)) / len(lines),
+        sum(c in "0123456789" for c in text) / chars, sum(c in "!*$#&%@|<>{}[]=_~^\\/+" for c in text) / chars,
+        sum(len(w) > 12 for w in words) / n, np.log(1 + n / len(lines)), sum(c in ".," for c in last) / n,
+    ]
+
+
+def test_quality_feature_by_feature(tables):
+    docs, labels, *_ = tables
+    rows = [r["text"] for r in docs.filter("doc_id is null or doc_id <> 1004").select("text").limit(60).collect()]
+    rows += ["A| b! c, d. 12 | |\n\nx_y LONGLONGLONGWORD LONGLONGLONGWORD", "é ñ\nÉ"]
+    for text in rows:
+        assert np.allclose(quality.features(text), plain_quality_features(text))
+    model = quality.trained(docs, labels)
+    table, share = labelled.training_rows(docs, labels, "quality", quality.PER_CLASS)
+    known = sorted(table.collect(), key=lambda r: r["doc_id"])
+    again = quality.fit(np.array([plain_quality_features(r["text"]) for r in known]), np.array([r["label"] for r in known]), share)
+    x = np.array([plain_quality_features(t) for t in rows])
+    assert np.allclose(model.score(x), again.score(x), atol=1e-6)
 
 
 @pytest.mark.parametrize("name, module, threshold", [("toxic", toxicity, 0.5), ("quality", quality, 0.3)])
