@@ -136,7 +136,8 @@ def to_text(x: Column) -> Column:
     digits = F.lpad(F.abs(power).cast("string"), F.greatest(F.length(F.abs(power).cast("string")), F.lit(2)), F.lit("0"))
     exponent = F.concat(parts[0], F.when(power < 0, "e-").otherwise("e+"), digits)
     return (
-        F.when(F.isnan(x), "nan")
+        F.when((F.abs(x) >= 1e-3) & (F.abs(x) < 1e7), x.cast("string"))  # here both print alike, without any further work
+        .when(F.isnan(x), "nan")
         .when(F.abs(x) == float("inf"), F.when(x > 0, "inf").otherwise("-inf"))
         .when(x == 0, x.cast("string"))
         .when((F.abs(x) >= 1e-4) & (F.abs(x) < 1e16), signed)
