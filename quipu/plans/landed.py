@@ -108,6 +108,25 @@ def scan_json_columns(t: Tables):
     return documents.read_columns(t.spark, path, T.StructType.fromDDL("cliente bigint, nombre string, clave bigint"))
 
 
+@query(
+    "scan_json_large",
+    "SELECT c_nationkey AS nation, CAST(c_custkey AS INTEGER) AS \"index\", c_name AS nombre, c_acctbal AS saldo FROM customer",
+)
+def scan_json_large(t: Tables):
+    """One document per nation and file, with an entry for each of its customers."""
+    path = fresh_path(t.spark, "nations-json")
+
+    def column(name: str):
+        return F.map_from_entries(F.collect_list(F.struct(F.col("c_custkey").cast("string"), name)))
+
+    document = F.to_json(F.struct(column("c_name").alias("nombre"), column("c_acctbal").alias("saldo"))).alias("doc")
+    t.customer.groupBy("c_nationkey").agg(document).write.partitionBy("c_nationkey").text(path)
+    schema = T.StructType.fromDDL("nombre string, saldo double")
+    rows = documents.read_large_columns(t.spark, path, schema, keep_file=True)
+    nation = F.regexp_extract("file", "c_nationkey=([0-9]+)/", 1).cast("int")
+    return rows.select(nation.alias("nation"), "index", "nombre", "saldo")
+
+
 def _user_documents(t: Tables):
     """One landed document per event: a list of two records under ``results``."""
     record = F.struct(
