@@ -8,10 +8,11 @@ name (the skips). Loopy belief propagation passes the known labels along both ki
 links, so that a telephone number that is given in full once is also found where it is
 repeated without its country code.
 
-Nothing is labelled by hand: the node weights are a softmax regression on shape features
-of a bounded sample of the documents with a known shape, and the strength of the links (how
-often linked known spans agree) is a rate over all documents, the known shapes being the labels.
-Both are counted from whole texts in the tasks.
+Nothing is labelled by hand, the known shapes are the labels: the node weights are a softmax
+regression on shape features of a bounded sample of the documents with a known shape. The
+links have a table of potentials each, label by label, from counts over all documents: along
+the chain how much oftener two labels are neighbours than by chance, for the skips which
+labels a node of some kind repeats as. Both are counted from whole texts in the tasks.
 """
 
 from __future__ import annotations
@@ -44,7 +45,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _NUMBER = re.compile(r"(?<![0-9A-Za-z])\+?\(?[0-9](?:[\x20().\-/]{0,2}[0-9])++")
 _WRITTEN = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,63}(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]{1,63}){0,8}")
-_MIN_DIGITS, _KEY_DIGITS = 7, 7
+_MIN_DIGITS, _KEY_DIGITS, _MOST_DIGITS = 7, 7, 19
+_GROUP = re.compile(r"[0-9]+")
 
 
 def _digits(text: str) -> str:
@@ -89,13 +91,26 @@ def known(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
+def _numbers(text: str) -> Iterator[tuple[int, int]]:
+    """Stretches that look like one number; one of more digits than any number has is cut between its groups."""
+    for m in _NUMBER.finditer(text):
+        start, end, digits = m.start(), m.start(), 0
+        for group in _GROUP.finditer(text, m.start(), m.end()):
+            n = group.end() - group.start()
+            if digits and digits + n > _MOST_DIGITS:
+                yield start, end
+                start, digits = group.start(), 0
+            end, digits = group.end(), digits + n
+        yield start, end
+
+
 def nodes_of(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Nodes (start, label, end) in order: the known spans, and the unlabelled (-1) stretches clear of them."""
     found = []
     if _DIGIT.search(text):
-        for m in _NUMBER.finditer(text):
-            if m.end() - m.start() >= _MIN_DIGITS and not text[m.end() : m.end() + 1].isalnum() and len(_digits(m[0])) >= _MIN_DIGITS:
-                found.append(m.span())
+        for start, end in _numbers(text):
+            if end - start >= _MIN_DIGITS and not text[end : end + 1].isalnum() and len(_digits(text[start:end])) >= _MIN_DIGITS:
+                found.append((start, end))
     if "@" in text or "(at)" in text or "[at]" in text:
         found += [m.span() for m in _WRITTEN.finditer(text)]
     nodes, last, at = list(base), 0, 0
@@ -173,7 +188,13 @@ def links_of(text: str, nodes: list[tuple[int, int, int]]) -> list[tuple[int, in
 @dataclass(frozen=True)
 class Model:
     weights: np.ndarray  # shape features by label
-    strength: tuple[float, float]  # of the links of the chain, and of the skips
+    tables: tuple[np.ndarray, np.ndarray]  # log potentials by both labels: of the links of the chain, and of the skips
+
+    @property
+    def strength(self) -> tuple[float, float]:
+        """How much agreement is worth, along the chain and over the skips, for the kind where it is worth most."""
+        chain, skip = (float(np.diag(t)[:_OTHER].max()) for t in self.tables)
+        return chain, skip
 
     def potentials(self, shapes: np.ndarray) -> np.ndarray:
         z = shapes @ self.weights
@@ -181,12 +202,16 @@ class Model:
         return np.maximum(z, -_NODE_BOUND)
 
 
-def marginals(node: np.ndarray, links: list[tuple[int, int, int]], strength: tuple[float, float], rounds: int = ROUNDS) -> np.ndarray:
-    """Label probabilities by loopy belief propagation; ``node`` holds log potentials."""
+def marginals(node: np.ndarray, links: list[tuple[int, int, int]], tables: tuple, rounds: int = ROUNDS) -> np.ndarray:
+    """Label probabilities by loopy belief propagation; ``node`` holds log potentials.
+
+    ``tables`` has a symmetric matrix of log potentials for each kind of link, or a number that agreement is worth.
+    """
     n, k = node.shape
     i = np.array([a for a, b, _ in links] + [b for a, b, _ in links], int)
     j = np.array([b for a, b, _ in links] + [a for a, b, _ in links], int)
-    bonus = np.exp(np.array([strength[kind] for _, _, kind in links] * 2)) - 1
+    worth = np.exp(np.array([t * np.eye(k) if np.ndim(t) == 0 else t for t in tables]))
+    kinds = np.array([kind for _, _, kind in links] * 2, int)
     back = np.concatenate((np.arange(len(links)) + len(links), np.arange(len(links))))
     message = np.zeros((2 * len(links), k))  # log, from i to j
     for _ in range(rounds):
@@ -194,7 +219,9 @@ def marginals(node: np.ndarray, links: list[tuple[int, int, int]], strength: tup
         np.add.at(belief, j, message)
         out = belief[i] - message[back]
         out = np.exp(out - out.max(axis=1, keepdims=True))
-        new = np.log(out.sum(axis=1, keepdims=True) + out * bonus[:, None])
+        new = np.zeros_like(message)
+        for kind, table in enumerate(worth):
+            new[kinds == kind] = np.log(out[kinds == kind] @ table)
         new -= new.max(axis=1, keepdims=True)
         if len(new) == 0 or np.abs(new - message).max() < 1e-6:
             message = new
@@ -220,7 +247,7 @@ def spans_of(text: str | None, model: Model | None) -> list[tuple[int, int, int,
         if label >= 0:
             row[:] = -30.0
             row[label] = 0.0
-    found = marginals(potentials, links_of(text, nodes), model.strength)
+    found = marginals(potentials, links_of(text, nodes), model.tables)
     best = found.argmax(axis=1)
     added = [
         (a, int(kind), b, False)
@@ -231,30 +258,61 @@ def spans_of(text: str | None, model: Model | None) -> list[tuple[int, int, int,
 
 
 _Look = tuple[int, int]  # features as bits, and the label
+_LABELS = len(KINDS) + 1
+_PAIRS = 2 * _LABELS * _LABELS
+
+
+def _place(kind: int, a: int, b: int) -> int:
+    return (kind * _LABELS + a) * _LABELS + b
+
+
+def pair_tables(pairs: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Log potentials of chain and skips from counts of joined labels; shares, so that they do not grow with the table.
+
+    Chain: how much oftener two labels are neighbours than by chance. Skips: the share of the
+    links from a kind that lead to a kind, against almost none; that both ends are other is worth as much
+    as that both are of a kind, so that a link alone says nothing.
+    """
+    chain, skip = np.array(pairs, float).reshape(2, _LABELS, _LABELS)
+    total = max(chain.sum(), 1)
+    ends = chain.sum(axis=1) / total
+    near = np.log((chain / total + _LEAST_SHARE) / (np.outer(ends, ends) + _LEAST_SHARE))
+    share = skip / np.maximum(skip.sum(axis=1, keepdims=True), 1)
+    far = np.log((np.maximum(share, share.T) + _LEAST_SHARE) / _LEAST_SHARE)
+    far[_OTHER, _OTHER] = np.diag(far)[:_OTHER].max()
+    return np.clip(near, -_CHAIN_BOUND, _CHAIN_BOUND), np.minimum(far, _SKIP_BOUND)
 
 
 def evidence(text: str | None) -> tuple[Counter[_Look], list[int]] | None:
-    """The looks of a text's nodes, and its links between known spans: chain and skip, each other and agreeing. None without a known span."""
+    """The looks of a text's nodes, and how often its links join which labels. None without a known span.
+
+    Links are counted from both ends, in a table for the chain and one for the skips, row by
+    row. In the chain a node without a known label counts as other; of the skips only those between known spans count,
+    as the others are what is to be found out.
+    """
     base = known(text or "")
     if not base:
         return None
     nodes = nodes_of(text, base)
     looks = Counter((int(shape(text[a:b]) @ (1 << np.arange(_SHAPES))), label if label >= 0 else _OTHER) for a, label, b in nodes)
-    pairs = [0] * 4
-    for i, j, kind in links_of(text, nodes) if len(base) > 1 else ():
-        if nodes[i][1] >= 0 and nodes[j][1] >= 0:
-            pairs[2 * kind + (nodes[i][1] == nodes[j][1])] += 1
+    pairs = [0] * _PAIRS
+    for i, j, kind in links_of(text, nodes):
+        a, b = nodes[i][1], nodes[j][1]
+        if kind == 0 or (a >= 0 and b >= 0):
+            a, b = (_OTHER if x < 0 else x for x in (a, b))
+            pairs[_place(kind, a, b)] += 1
+            pairs[_place(kind, b, a)] += 1
     return looks, pairs
 
 
 def fit(texts: list[str], ridge: float = 1.0, steps: int = 200) -> Model | None:
-    """Node weights and link strengths of texts; None without any known span."""
+    """Node weights and link tables of texts; None without any known span."""
     found = [e for e in map(evidence, texts) if e]
-    return fitted(sum((e[0] for e in found), Counter()), [sum(e[1][k] for e in found) for k in range(4)], ridge, steps)
+    return fitted(sum((e[0] for e in found), Counter()), [sum(e[1][k] for e in found) for k in range(_PAIRS)], ridge, steps)
 
 
 def fitted(counts: Counter[_Look], pairs: list[int], ridge: float = 1.0, steps: int = 200) -> Model | None:
-    """Node weights of counted looks, and link strengths; None without a known span."""
+    """Node weights of counted looks, and the tables of the links; None without a known span."""
     seen = sorted(counts)
     if all(label == _OTHER for _, label in seen):
         return None
@@ -275,11 +333,7 @@ def fitted(counts: Counter[_Look], pairs: list[int], ridge: float = 1.0, steps:
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         w += rate * (x.T @ ((target - p) * n[:, None]) - ridge * w)
-    # Shares, so that the strength does not grow with the table; without any link it is 0.
-    chain, skip = (
-        float(np.log((agree / max(agree + other, 1) + _LEAST_SHARE) / (other / max(agree + other, 1) + _LEAST_SHARE))) for other, agree in (pairs[:2], pairs[2:])
-    )
-    return Model(w, (min(max(chain, 0.0), _CHAIN_BOUND), min(max(skip, 0.0), _SKIP_BOUND)))
+    return Model(w, pair_tables(pairs))
 
 
 _EVIDENCE = "struct<looks:array<struct<code:int,label:int,n:bigint>>,pairs:array<bigint>>"
@@ -298,11 +352,15 @@ def _evidence(text: Column) -> Column:
 
 
 def trained(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = SAMPLE) -> Model | None:
-    """A model of the documents that hold a known shape: links of all of them, nodes of at most ``most``, chosen by a digest of the id."""
+    """A model of the documents that hold a known shape: links of all of them, nodes of at most ``most``, chosen by a digest of the id.
+
+    Null and empty texts hold nothing; rows that repeat an id count each for its links and once for
+    its nodes. Only the two named columns are read. None if no document holds a known shape.
+    """
     text = F.col(text_col)
     held = docs.filter(text.rlike("[0-9@]")).select(F.col(id_col).alias("doc_id"), _evidence(text).alias("found"))
     held = stage(held.filter("found is not null").select("doc_id", "found.*"), "evidence")
-    pairs = held.agg(*[F.coalesce(F.sum(F.col("pairs")[k]), F.lit(0)) for k in range(4)]).first()
+    pairs = held.agg(*[F.coalesce(F.sum(F.col("pairs")[k]), F.lit(0)) for k in range(_PAIRS)]).first()
     each = held.groupBy("doc_id").agg(F.max("looks").alias("looks"))  # a repeated id is drawn once
     turn = F.md5(F.concat(F.lit("fit:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
     drawn = each.orderBy(turn, "doc_id").limit(most).select(F.explode("looks").alias("look"))

@@ -120,3 +120,48 @@ def test_rare_data_among_many_numbers_is_fitted_on_and_few_repeats_suffice(spark
     assert np.allclose(many.strength, pii.fit(corpus()).strength)  # rates
     text = "Call +1 (212) 555-1234, later (212) 555-1234"
     assert [(text[a:b], sure) for a, _, b, sure in pii.spans_of(text, model)] == [("+1 (212) 555-1234", True), ("(212) 555-1234", False)]
+
+
+def test_neighbouring_numbers_are_nodes_of_their_own():
+    text = "7536784127813050 4845168114407329 and 4652 2885 2408 6166 4845 1681 1440 7329, " + "9" * 30 + " 1234567 89"
+    shown = [text[a:b] for a, _, b in pii.nodes_of(text, [])]
+    assert shown == ["7536784127813050", "4845168114407329", "4652 2885 2408 6166", "4845 1681 1440 7329", "9" * 30, "1234567 89"]
+    model = pii.fit(corpus())
+    pair = "7536784127813050 4845168114407320"  # the check digit of the first one holds, that of the second does not
+    assert plain_luhn(pair[:16]) and not plain_luhn(pair[17:])
+    assert pii.spans_of(pair, model) == [(0, 2, 16, False)]
+
+
+def test_each_kind_of_link_alone_decides():
+    """A doubtful node takes its label from its neighbours where labels keep company, or from a repeat far away."""
+    n = pii._LABELS
+    pairs = np.zeros((2, n, n), int)
+    pairs[0] = 5  # cards stand next to telephones, addresses alone
+    pairs[0][3, 2] = pairs[0][2, 3] = 4000
+    pairs[0][4, 4], pairs[0][0, 4], pairs[0][4, 0] = 4000, 500, 500
+    pairs[1][3, 3] = pairs[1][2, 2] = 50
+    tables = pii.pair_tables(pairs.ravel().tolist())
+    assert tables[0][3, 2] == 1.0 and tables[0][3, 4] < -0.9 and np.allclose(tables[0], tables[0].T)
+    doubtful = np.array([-9, -9, 0.0, -9, 0.5])  # card or other, other a little likelier
+    phone = np.full(n, -30.0)
+    phone[3] = 0
+    alone = pii.marginals(doubtful[None], [], tables)
+    assert alone[0].argmax() == 4
+    beside = pii.marginals(np.array([phone, doubtful]), [(0, 1, 0)], tables)
+    assert beside[1].argmax() == 2  # by the chain
+    card, strange = np.full(n, -30.0), np.full(n, -30.0)
+    card[2], strange[4] = 0, 0
+    nodes = np.array([card, strange, strange, doubtful - [0, 0, 3, 0, 0]])
+    chain = [(0, 1, 0), (1, 2, 0), (2, 3, 0)]
+    assert pii.marginals(nodes, chain, tables)[3].argmax() == 4
+    assert pii.marginals(nodes, [*chain, (0, 3, 1)], tables)[3].argmax() == 2  # by the skip
+    assert (pii.pair_tables([0] * pii._PAIRS)[1] == 0).all()
+
+
+def test_pairs_are_learnt_from_neighbours():
+    chain, skip = pii.fit(corpus()).tables
+    assert skip[3, 3] > 4 and skip[0, 3] == 0 and skip[4, 4] >= skip[3, 3]
+    assert chain[3, 3] > 0 and chain[3, 1] < 0  # telephones are followed by telephones, never by addresses of machines
+    company = [f"mail a{i}@x.org call +1 (808) 555-{1000 + i} ok" for i in range(80)] + [f"at 10.0.0.{i} and 10.1.0.{i}" for i in range(80)]
+    table = pii.fit(company).tables[0]
+    assert table[0, 3] > 0.5 and table[0, 1] < -0.5
