@@ -16,7 +16,8 @@ too few candidates visits all.
 
 ``r`` and ``W`` are fitted on a bounded sample; every row is indexed. A query goes to the
 buckets, never to a driver, and a bucket is cut into chunks of at most ``CHUNK`` rows or so,
-so no task holds more at once. Equal vectors are one point, whose smallest ids suffice.
+so no task holds more at once. The queries that visit one chunk are dealt out as well, with
+a copy of the chunk for every ``ASKS`` of them. Equal vectors are one point, whose smallest ids suffice.
 """
 
 from __future__ import annotations
@@ -34,8 +35,9 @@ from quipu.storage import broadcast_if_short, stage
 
 SAMPLE = 2_000  # vectors that r and W are fitted on, at most
 SUCCESS = 0.96
-TABLES, HASHES = 1, 3
+TABLES, HASHES = 2, 3
 CHUNK = 4096
+ASKS = 1024  # queries that meet a chunk in one task, about
 _BUCKET_ROWS = 4096  # rows of a bucket that W aims at
 _CHOICES, _VISITS = 1 << 20, 20_000  # slots weighed for one query, and buckets named; beyond that it visits all
 _FARTHEST = 2.0  # between two points
@@ -180,7 +182,7 @@ def _visits(rows: DataFrame, index: Index, success: float, sizes: DataFrame) ->
 
 
 def _ranked(keep: int):
-    """Sorted rows (table, bucket, chunk, asks, id, vector): per asking row and chunk, its best ``keep`` points."""
+    """Sorted rows (table, bucket, chunk, deal, asks, id, vector): per asking row and chunk, its best ``keep`` points."""
 
     def best(ids, points, asking, vectors):
         scores = vectors @ points.T
@@ -200,22 +202,22 @@ def _ranked(keep: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
-            vectors = _vectors(batch.column(5))
-            marks = np.column_stack(columns[:4]).astype(np.int64)
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
+            vectors = _vectors(batch.column(6))
+            marks = np.column_stack(columns[:5]).astype(np.int64)
             cuts = np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1
             for start, end in zip(np.concatenate(([0], cuts)), np.concatenate((cuts, [len(marks)]))):
-                mark = tuple(marks[start, :3])
+                mark = tuple(marks[start, :4])
                 if mark != key:
                     key, ids, points = mark, [], []
-                if not marks[start, 3]:  # points come before the rows that ask
-                    ids.append(columns[4][start:end])
+                if not marks[start, 4]:  # points come before the rows that ask
+                    ids.append(columns[5][start:end])
                     points.append(vectors[start:end])
                 elif ids:
                     ids, points = [np.concatenate(ids)], [np.concatenate(points)]
                     for at in range(start, end, 256):
                         to = min(at + 256, end)
-                        yield best(ids[0], points[0], columns[4][at:to], vectors[at:to])
+                        yield best(ids[0], points[0], columns[5][at:to], vectors[at:to])
 
     return run
 
@@ -238,6 +240,8 @@ def search(
     vector_col: str = "embedding",
     success: float = SUCCESS,
     chunk: int = CHUNK,
+    tables: int = TABLES,
+    asks_at_once: int = ASKS,
 ) -> DataFrame:
     """For each row whose id meets ``asks`` (a condition on ``id``): its ``nearest`` others.
 
@@ -260,7 +264,7 @@ def search(
     if not state["n"]:
         return asking.select("query_id", F.lit(1).alias("rank"), F.col("point").alias("vec_id"), F.lit(0.0).alias("score"))
     drawn = points.select("point", "vector").orderBy(F.xxhash64("point"), "point").limit(SAMPLE).collect()
-    index = fit(np.array([r["vector"] for r in drawn], float), state["n"], state["norm"], nearest)
+    index = fit(np.array([r["vector"] for r in drawn], float), state["n"], state["norm"], nearest, tables)
 
     placed = stage(_bucketed(points.select(F.col("point").alias("id"), "vector"), index), "buckets")
     sizes = placed.groupBy("table", "bucket").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks"))
@@ -271,7 +275,15 @@ def search(
     wanted = asking.select("point").distinct().join(points.select("point", "vector"), "point").withColumnRenamed("point", "id")
 
     def met(visits: DataFrame) -> DataFrame:
-        rows = stored.unionByName(visits).repartition("table", "bucket", "chunk").sortWithinPartitions("table", "bucket", "chunk", "asks", "id")
+        visits = stage(visits, "asks")
+        place = ["table", "bucket", "chunk"]
+        deals = visits.groupBy(*place).agg(F.ceil(F.count("*") / asks_at_once).cast("int").alias("deals"))
+        deals = broadcast_if_short(stage(deals, "deals"))
+        copies = stored.join(deals, place).withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1))).drop("deals")
+        dealt = visits.join(deals, place).withColumn("deal", F.pmod(F.xxhash64("id"), F.col("deals")).cast("int")).drop("deals")
+        columns = [*place, "deal", "asks", "id", "vector"]
+        rows = copies.select(columns).unionByName(dealt.select(columns))
+        rows = rows.repartition(*place, "deal").sortWithinPartitions(*place, "deal", "asks", "id")
         return rows.mapInArrow(_ranked(nearest + 1), "query long, found long, score double")
 
     def best(partial: DataFrame) -> DataFrame:

@@ -53,6 +53,8 @@ def test_recall_on_spread_vectors_of_any_length(spark):
     rows = [(i, (rng.normal(size=16) * rng.uniform(0.2, 3)).tolist()) for i in range(1500)]
     compare(spark, clash(rows), 0.9)
     compare(spark, clash(rows[:300]), 0.9, chunk=16)  # hot buckets are cut into chunks
+    compare(spark, clash(rows[:300]), 0.9, chunk=16, asks_at_once=2, tables=3)  # and what asks of them is dealt out
+    compare(spark, clash(rows[:300]), 0.9, tables=1)
 
 
 def test_copies_ties_and_vectors_that_take_no_part(spark):
