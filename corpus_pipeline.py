@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quipu.llm import decontamination, mixing, sharding, simhash, toxicity
-from quipu.storage import stage
+from quipu.storage import fresh_path, stored_tables
 
 
 def _not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,8 +55,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``; each result is a Parquet table in the shared folder."""
+    """All stages over the documents of ``sf_dir``; each result is a Parquet table in the shared folder.
+
+    A stage's own working tables go once its result is written; those of the last one stay, as its result is read by the caller.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, function in STAGES[:-1]:
-        docs = stage(function(spark, docs, sf_dir), name)
+        path = fresh_path(spark, name)
+        with stored_tables(spark):
+            function(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
