@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quipu.llm import (
@@ -34,6 +34,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _of_kind(spans: Column, kind: int) -> Column:
+    """Number of spans of a kind. The function has one parameter: ``filter`` would hand the place in the array to a second one."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+
 @_query(
     "op2_mixing",
     """
@@ -170,7 +175,7 @@ def op6_toxicity(spark, folder):
 def op1_secrets(spark, folder):
     found = secrets.secrets(_table(spark, folder, "documents"))
     base = F.filter("spans", lambda s: s["kind"] < 3)
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{secrets.KINDS[k]}") for k in range(3)]
+    counts = [_of_kind(base, k).alias(f"n_{secrets.KINDS[k]}") for k in range(3)]
     return found.select(
         "doc_id", *counts, F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans")
     )

@@ -26,3 +26,18 @@ def test_scores_of_every_document(spark, name):
     least = {"op6_toxicity": 0.5, "op9_quality": 0.3}[name]
     assert all(r["predicted"] == int(r["score"] >= least) for r in rows)
     assert {r["held_out"] for r in rows} == {True, False}
+
+
+def _counted(spark, tmp_path, name, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    return {r["doc_id"]: r for r in QUERIES[name](spark, str(tmp_path)).collect()}
+
+
+def test_secrets_are_counted_by_kind_wherever_they_stand(spark, tmp_path):
+    access, digest = "AKIA" + "Q7" * 8, "0123456789abcdef" * 2
+    texts = [access, digest, f"{digest} {access} token=abcdef", "token=abcdef " * 3, f"{digest} " * 4, None]
+    rows = _counted(spark, tmp_path, "op1_secrets", texts)
+    assert [(rows[i]["n_assign"], rows[i]["n_access"], rows[i]["n_hex"]) for i in range(6)] == [
+        (0, 1, 0), (0, 0, 1), (1, 1, 1), (3, 0, 0), (0, 0, 4), (0, 0, 0),
+    ]
