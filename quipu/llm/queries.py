@@ -193,7 +193,7 @@ def op10_pii(spark, folder):
     docs = _table(spark, folder, "documents")
     found = docs.select("doc_id", pii.personal_data(F.col("text"), pii.trained(docs)).alias("spans"))
     base = F.filter("spans", lambda s: s["known"])
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["known"] & (s["kind"] == k))).cast("bigint").alias(f"n_{pii.KINDS[k]}") for k in range(4)]
+    counts = [_of_kind(base, k).alias(f"n_{pii.KINDS[k]}") for k in range(4)]
     return found.select(
         "doc_id", *counts, F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans")
     )

@@ -41,3 +41,12 @@ def test_secrets_are_counted_by_kind_wherever_they_stand(spark, tmp_path):
     assert [(rows[i]["n_assign"], rows[i]["n_access"], rows[i]["n_hex"]) for i in range(6)] == [
         (0, 1, 0), (0, 0, 1), (1, 1, 1), (3, 0, 0), (0, 0, 4), (0, 0, 0),
     ]
+
+
+def test_personal_data_is_counted_by_kind_wherever_it_stands(spark, tmp_path):
+    email, ip, card, phone = "a.b@c.org", "10.0.0.1", "4111 1111 1111 1111", "+49 30 1234567"
+    texts = [email, ip, card, phone, f"{phone}, {card}, {ip}, {email}", f"{email}, " * 3, f"{ip}, " * 5, None]
+    rows = _counted(spark, tmp_path, "op10_pii", texts)
+    assert [(rows[i]["n_email"], rows[i]["n_ip"], rows[i]["n_card"], rows[i]["n_phone"]) for i in range(8)] == [
+        (1, 0, 0, 0), (0, 1, 0, 0), (0, 0, 1, 0), (0, 0, 0, 1), (1, 1, 1, 1), (3, 0, 0, 0), (0, 5, 0, 0), (0, 0, 0, 0),
+    ]
