@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quipu.storage import broadcast_if_short
+
 
 def value_counts(df: DataFrame, column: str, by_value: bool = False) -> DataFrame:
     """Rows per present value: most frequent first and ties by value, or all in order of the value."""
@@ -126,12 +128,27 @@ def _labelled(df: DataFrame, column: str) -> Column:
     return F.coalesce(text, F.lit("null"))
 
 
-def _as_maps(cells: DataFrame, index: str, measures: list[str]) -> DataFrame:
+MOST_LABELS = 100_000  # of one row's maps, about
+
+
+def _parts(df: DataFrame, index: str, label: Column, most: int) -> DataFrame:
+    """(_index, _parts): into how many rows an index with more than about ``most`` labels is cut; no other index is there."""
+    counts = df.groupBy(F.col(index).alias("_index")).agg(F.approx_count_distinct(label).alias("_n"))
+    return counts.filter(F.col("_n") > most).select("_index", F.ceil(F.col("_n") / most).alias("_parts"))
+
+
+def _as_maps(cells: DataFrame, index: str, measures: list[str], parts: DataFrame) -> DataFrame:
     """Cells (index, _label, measures...) folded to one row per index: a map from label to value for each measure.
 
-    A task holds the cells of one index, which are one row of the answer anyway.
+    An index named in ``parts`` gets so many rows, its labels dealt out by their hash, so that a task holds a bounded
+    number of cells. All maps of a row have the same labels in the same order.
     """
-    lists = cells.groupBy(index).agg(F.array_sort(F.collect_list(F.struct("_label", *measures))).alias("_cells"))
+    keys = [index]
+    if not parts.isEmpty():
+        cut = cells.join(broadcast_if_short(parts), F.col(index).eqNullSafe(F.col("_index")), "left")
+        cells = cut.withColumn("_part", F.pmod(F.xxhash64("_label"), F.coalesce("_parts", F.lit(1))))
+        keys = [index, "_part"]
+    lists = cells.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_label", *measures))).alias("_cells"))
 
     def one(measure: str) -> Column:
         return F.map_from_entries(F.transform("_cells", lambda c: F.struct(c["_label"], c[measure]))).alias(measure)
@@ -139,16 +156,22 @@ def _as_maps(cells: DataFrame, index: str, measures: list[str]) -> DataFrame:
     return lists.select(index, *[one(m) for m in measures])
 
 
-def pivot_unique_maps(df: DataFrame, index: str, column: str, measures: list[str]) -> DataFrame:
+def pivot_unique_maps(df: DataFrame, index: str, column: str, measures: list[str], most: int = MOST_LABELS) -> DataFrame:
     """``pivot_unique`` for any number of columns: one map per measure, from column label to value.
 
     A cell that is absent from the data is absent from the map; one that is there without
-    a value is null in it. Labels stand in order.
+    a value is null in it. Labels stand in order. An index with more than about ``most``
+    labels has several rows, each with other labels.
     """
-    return _as_maps(_unique_cells(df, index, column, _labelled(df, column), measures), index, measures)
+    label = _labelled(df, column)
+    return _as_maps(_unique_cells(df, index, column, label, measures), index, measures, _parts(df, index, label, most))
+
 
+def pivot_maps(df: DataFrame, index: str, column: str, aggregates: dict[str, Column], most: int = MOST_LABELS) -> DataFrame:
+    """``pivot_table`` for any number of columns: one map per named aggregate, from column label to its value.
 
-def pivot_maps(df: DataFrame, index: str, column: str, aggregates: dict[str, Column]) -> DataFrame:
-    """``pivot_table`` for any number of columns: one map per named aggregate, from column label to its value."""
-    cells = df.groupBy(index, _labelled(df, column).alias("_label")).agg(*[c.alias(name) for name, c in aggregates.items()])
-    return _as_maps(cells, index, list(aggregates))
+    Rows, labels and ``most`` as in ``pivot_unique_maps``.
+    """
+    label = _labelled(df, column)
+    cells = df.groupBy(index, label.alias("_label")).agg(*[c.alias(name) for name, c in aggregates.items()])
+    return _as_maps(cells, index, list(aggregates), _parts(df, index, label, most))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quipu import storage
 from quipu.operators import grouping, matrix, missing, ordering, profile, statistics
+from quipu.plans import load
 from tests.test_plans import plan
 
 NAN = math.nan
@@ -37,6 +38,26 @@ def test_maps_hold_every_cell_of_5000_columns(wide):
     assert {r["item"]: r["top"] for r in sums} == {f"r{k}": {str(p): 3 * p + k for p in range(5000)} for k in range(3)}
 
 
+def test_maps_of_many_columns_are_cut_and_lose_no_cell(spark, wide):
+    few = spark.createDataFrame([(None, p, p, 1.0) for p in range(1500)] + [("few", p, p, 1.0) for p in range(3)], wide.schema)
+    maps = grouping.pivot_maps(wide.unionByName(few), "item", "place", {"n": F.count("*"), "top": F.max("sold")}, most=1000)
+    rows = maps.select("*", F.map_keys("n").alias("places"), F.map_keys("top").alias("same")).collect()
+    per = {k: [r for r in rows if r["item"] == k] for k in ("r0", "r1", "r2", None, "few")}
+    assert len(per["few"]) == 1 and len(per[None]) == 2 and all(4 <= len(per[f"r{k}"]) <= 6 for k in range(3))
+    assert all(r["places"] == r["same"] == sorted(r["n"]) and len(r["n"]) < 2000 for r in rows)
+    for k in range(3):
+        cells = [c for r in per[f"r{k}"] for c in r["top"].items()]
+        assert len(cells) == 5000 and dict(cells) == {str(p): 3 * p + k for p in range(5000)}
+    assert sorted(c for r in per[None] for c in r["top"].items()) == sorted((str(p), p) for p in range(1500))
+    once = grouping.pivot_unique_maps(wide, "item", "place", ["sold"], most=1000).collect()
+    assert len(once) >= 12 and sum(len(r["sold"]) for r in once) == 15_000
+
+
+def test_no_label_is_looked_up_in_a_map(spark):
+    text = plan(load()["pivot_maps"](spark, "/root/testdata/sf0.001"))
+    assert "element_at" not in text
+
+
 def test_wide_tables_name_the_way_that_holds(wide):
     with pytest.raises(ValueError, match="pivot_maps"):
         grouping.pivot_table(wide, "item", "place", [F.sum("sold")])
