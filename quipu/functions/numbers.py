@@ -125,23 +125,26 @@ def text_to_int(s: Column) -> Column:
 
 
 def to_text(x: Column) -> Column:
-    """A double as Python prints it: an exponent only below 1e-4 and from 1e16, and nan, inf, -inf."""
-    plain = F.regexp_replace(
-        F.abs(x).cast("decimal(38,20)").cast("string"), r"(\.\d+?)0+$", "$1"
-    )
-    signed = F.when(x < 0, F.concat(F.lit("-"), plain)).otherwise(plain)
+    """A double as Python prints it: an exponent only below 1e-4 and from 1e16, and nan, inf, -inf.
+
+    Every row is printed once and changed by plain replacements: no patterns, and no digits taken apart.
+    """
+    size, engine = F.abs(x), x.cast("string")
     # The engine writes 1.0E-5 and 1.25E16; Python 1e-05 and 1.25e+16.
-    parts = F.split(F.regexp_replace(x.cast("string"), r"\.0E", "E"), "E")
-    power = parts[1].cast("int")
-    digits = F.lpad(F.abs(power).cast("string"), F.greatest(F.length(F.abs(power).cast("string")), F.lit(2)), F.lit("0"))
-    exponent = F.concat(parts[0], F.when(power < 0, "e-").otherwise("e+"), digits)
+    short = F.replace(engine, F.lit(".0E"), F.lit("E"))
+    # From 1e7 to 1e16 and from 1e-4 to 1e-3 the decimal holds all digits; a whole number has no other digits than its own.
+    digits = F.rtrim(x.cast("decimal(38,20)").cast("string"), F.lit("0"))
+    whole = x.cast("bigint")
     return (
-        F.when((F.abs(x) >= 1e-3) & (F.abs(x) < 1e7), x.cast("string"))  # here both print alike, without any further work
+        F.when((size >= 1e-3) & (size < 1e7), engine)  # here both print alike, without any further work
         .when(F.isnan(x), "nan")
-        .when(F.abs(x) == float("inf"), F.when(x > 0, "inf").otherwise("-inf"))
-        .when(x == 0, x.cast("string"))
-        .when((F.abs(x) >= 1e-4) & (F.abs(x) < 1e16), signed)
-        .when(x.isNotNull(), exponent)
+        .when(size == float("inf"), F.when(x > 0, "inf").otherwise("-inf"))
+        .when(x == 0, engine)
+        .when((size >= 1e7) & (size < 1e16), F.when(x == whole, F.concat(whole.cast("string"), F.lit(".0"))).otherwise(digits))
+        .when((size >= 1e-4) & (size < 1e7), digits)
+        .when(size >= 1e16, F.replace(short, F.lit("E"), F.lit("e+")))
+        .when(size >= 1e-9, F.replace(short, F.lit("E-"), F.lit("e-0")))  # exponents of one digit: 5 to 9
+        .when(x.isNotNull(), F.replace(short, F.lit("E-"), F.lit("e-")))
     )
 
 

@@ -353,16 +353,18 @@ def cast_str(t: Tables):
     n = F.col("l_linenumber")
     special = {0: "NaN", 1: "Infinity", 2: "-Infinity"}
     edge = F.element_at(F.create_map(*[F.lit(x) for pair in special.items() for x in pair]), n % 3)
-    return t.lineitem.select(
-        "l_orderkey",
-        numbers.to_text(F.when(F.col("l_discount") == 0, 0.0).otherwise(F.concat(n, F.lit("E-"), n + 4).cast("double"))).alias("tiny"),
-        numbers.to_text(F.concat(n, F.lit(".5E"), n + 15).cast("double")).alias("huge"),
-        numbers.to_text(edge.cast("double")).alias("edge"),
-        n.cast("string").alias("whole"),
-        numbers.to_text(F.col("l_extendedprice")).alias("price"),
-        numbers.to_text(F.col("l_extendedprice") * 1000).alias("large"),
-        numbers.to_text(F.col("l_quantity")).alias("quantity"),
-    )
+    # One function for all doubles: each is worked out once, and the code of six would be too long for the JVM to compile.
+    doubles = {
+        "tiny": F.when(F.col("l_discount") == 0, 0.0).otherwise(F.concat(n, F.lit("E-"), n + 4).cast("double")),
+        "huge": F.concat(n, F.lit(".5E"), n + 15).cast("double"),
+        "edge": edge.cast("double"),
+        "price": F.col("l_extendedprice"),
+        "large": F.col("l_extendedprice") * 1000,
+        "quantity": F.col("l_quantity"),
+    }
+    texts = F.transform(F.array(*doubles.values()), numbers.to_text)
+    found = t.lineitem.select("l_orderkey", n.cast("string").alias("whole"), texts.alias("texts"))
+    return found.select("l_orderkey", "whole", *[F.col("texts")[i].alias(name) for i, name in enumerate(doubles)])
 
 
 @query(

@@ -190,3 +190,16 @@ def test_type_names(spark):
         numbers.python_type(F.lit(True)), numbers.python_type(F.lit(None)), numbers.python_type(F.array(F.lit(1))),
     ).first()
     assert list(row) == ["int", "float", "str", "bool", "NoneType", "list"]
+
+
+def test_text_of_doubles_at_the_edges_of_each_form(spark):
+    values = [1e-9, 9.999999999999999e-10, 1e-10, 2.5e-7, 9.9e-5, 1e-4, 0.00012345678901234567, 9.87e-4, 1e-3, 9999999.5, 1e7, 10000000.25,
+              123456789.0, 1e15 + 0.5, 9007199254740994.0, 9999999999999998.0, 1e16, 1.25e100, 1e-300, 1.7e308]
+    values += [-v for v in values]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert [r[0] for r in df.select(numbers.to_text(F.col("x"))).collect()] == [str(v) for v in values]
+
+
+def test_text_of_doubles_takes_no_patterns(spark):
+    text = spark.range(1).select(numbers.to_text(F.rand())).select("*")._jdf.queryExecution().toString()
+    assert "regexp" not in text and "split(" not in text
